@@ -1,0 +1,75 @@
+"""Joins that stay balanced when a few keys hold most of the rows.
+
+Aggregates need no help, Spark combines rows inside each task before it shuffles. A
+shuffle join does: all rows of a key meet in one task. The largest keys are therefore
+found first (a count, combined before the shuffle) and take a different path.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# A key below this many rows is no burden for one task.
+HEAVY_ROWS = 1_000_000
+# Bound of the broadcast list. A key that is not among the 10,000 largest holds less than
+# 1/10,000 of the rows and goes through the ordinary shuffle join.
+MAX_HEAVY_KEYS = 10_000
+
+
+def heavy_keys(
+    df: DataFrame, key: str, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
+) -> DataFrame:
+    """The largest keys of ``df`` with at least ``min_rows`` rows, ``max_keys`` at most."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return (
+        counts.filter(F.col(key).isNotNull() & (F.col("_rows") >= min_rows))
+        .orderBy(F.desc("_rows"), key)
+        .limit(max_keys)
+        .select(key)
+    )
+
+
+def join_lookup(
+    facts: DataFrame, lookup: DataFrame, key: str, heavy: DataFrame | None = None, how: str = "inner"
+) -> DataFrame:
+    """Join many rows per key to a ``lookup`` with one row per key.
+
+    Rows of heavy keys stay where they are and meet a broadcast slice of the lookup, which
+    has one row per heavy key and so is bounded like the list. All other rows take the join
+    that Spark picks by size. Where no key is heavy the first branch is empty and Spark drops
+    it at run time. ``heavy`` is a bounded one-column list if the caller has one already.
+    ``how`` is inner, left or left_semi.
+    """
+    heavy = F.broadcast(heavy_keys(facts, key) if heavy is None else heavy.toDF(key))
+    hot_lookup = F.broadcast(lookup.join(heavy, key, "left_semi"))
+    hot = facts.join(heavy, key, "left_semi").join(hot_lookup, key, how)
+    cold = facts.join(heavy, key, "left_anti").join(lookup, key, how)
+    return cold.unionByName(hot)
+
+
+def join_salted(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    spread_by: list[str],
+    heavy: DataFrame | None = None,
+    salts: int = 64,
+) -> DataFrame:
+    """Inner join of two sides that may both hold many rows per key.
+
+    ``left`` rows of a heavy key are dealt to ``salts`` tasks by a hash of ``spread_by``, the
+    ``right`` rows of that key are copied to each of them. A hash of the row, not a random
+    number: a task that is run again must deal its rows the same way.
+    """
+    heavy = heavy_keys(left, key) if heavy is None else heavy.toDF(key)
+    heavy = F.broadcast(heavy.withColumn("_heavy", F.lit(True)))
+    is_heavy = F.col("_heavy").isNotNull()
+    dealt = left.join(heavy, key, "left").withColumn(
+        "_salt",
+        F.when(is_heavy, F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0),
+    )
+    every = F.array(*[F.lit(i) for i in range(salts)])
+    copied = right.join(heavy, key, "left").withColumn(
+        "_salt", F.explode(F.when(is_heavy, every).otherwise(F.array(F.lit(0))))
+    )
+    return dealt.drop("_heavy").join(copied.drop("_heavy"), [key, "_salt"]).drop("_salt")
