@@ -123,7 +123,7 @@ def top_pairs(
     basket: str,
     product: str,
     k: int = 5,
-    head: int = 200,
+    head: int = 32,
     block: int = BLOCK,
     max_large: int = MAX_LARGE_BASKETS,
 ) -> DataFrame:

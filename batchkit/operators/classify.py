@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     IDF,
     HashingTF,
@@ -14,6 +14,8 @@ from pyspark.ml.feature import (
 )
 from pyspark.sql import DataFrame, functions as F
 
+from batchkit.operators.staging import Stage
+
 
 def with_label(
     df: DataFrame, numerator: str, denominator: str, cut: float = 0.9, required: tuple[str, ...] = ()
@@ -90,8 +92,16 @@ def fit_predict(
     numeric: tuple[str, ...] = (),
     label: str = "label",
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on ``train`` and predict ``test``; persist the predictions if used repeatedly."""
-    model = pipeline(texts, numeric, label).fit(train)
+    """Fit on ``train`` and predict ``test``; persist the predictions if used repeatedly.
+
+    The regression is saved and loaded again. A freshly fitted one carries its training
+    summary and with it the session, which cannot be sent to the tasks once the session has
+    observed any metrics.
+    """
+    *features, regression = pipeline(texts, numeric, label).fit(train).stages
+    path = Stage(train.sparkSession).path("regression")
+    regression.write().save(path)
+    model = PipelineModel([*features, LogisticRegressionModel.load(path)])
     return model, model.transform(test)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from batchkit.operators import rank, skew
 from batchkit.operators.staging import Stage
@@ -51,7 +51,7 @@ def _ids(g: Graph) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class _Routes:
+class Routes:
     """Merged edges ``(src, dst, edges)`` between known vertices, and the hubs among them."""
 
     steps: DataFrame
@@ -64,22 +64,28 @@ class _Routes:
         return skew.join_lookup(facts, lookup, key, self.hubs, how)
 
 
-def _merge_routes(g: Graph, stage: Stage) -> _Routes:
+def merge_routes(g: Graph) -> Routes:
     """Merge parallel edges and drop those with an end that is not a vertex.
 
-    The merged edges are written once and read by all later joins. Hubs are vertices with
-    a heavy number of distinct neighbours on either side; the list is bounded.
+    The merged edges are written once and read by all later joins; hand the result to several
+    measures of the same graph. Hubs are vertices with a heavy number of distinct
+    neighbours on either side. Their list is bounded, and not looked for where all edges
+    together are too few to make one.
     """
-    merged, _ = stage.put(
+    stage = Stage(g.edges.sparkSession)
+    merged = stage.put(
         g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges")), "merged"
     )
-    ends = [skew.heavy_keys(merged, end).toDF("id") for end in ("src", "dst")]
-    hubs, hot = stage.put(ends[0].union(ends[1]).distinct(), "hubs")
-    found = _Routes(merged, hubs if hot else None)
+    hubs = None
+    if merged.count() >= skew.HEAVY_ROWS:
+        ends = [skew.heavy_keys(merged, end).toDF("id") for end in ("src", "dst")]
+        hubs = stage.put(ends[0].union(ends[1]).distinct(), "hubs")
+        hubs = None if hubs.isEmpty() else hubs
+    found = Routes(merged, hubs)
     known = merged
     for end in ("src", "dst"):
         known = found.join(known, _ids(g).toDF(end), end, "left_semi")
-    return _Routes(stage.put(known, "routes")[0], found.hubs)
+    return Routes(stage.put(known, "routes"), hubs)
 
 
 def _not_seen(column: str, anchor: str, hop: int) -> Column:
@@ -89,17 +95,19 @@ def _not_seen(column: str, anchor: str, hop: int) -> Column:
     return fresh
 
 
-def find_motif(g: Graph, anchor: str, hops: int = 1, distinct: bool = False) -> DataFrame:
+def find_motif(
+    g: Graph, anchor: str, hops: int = 1, distinct: bool = False, routes: Routes | None = None
+) -> DataFrame:
     """Paths of ``hops`` edges that end in ``anchor``.
 
     ``v1`` is the vertex one hop before the anchor, ``v2`` the one before that, and so on.
     ``matches`` is the number of ways to choose parallel edges. With ``distinct`` no vertex
     occurs twice. The search starts at the anchor, so each hop extends only what reached it.
     """
-    return _paths(_merge_routes(g, Stage(g.edges.sparkSession)), anchor, hops, distinct)
+    return _paths(routes or merge_routes(g), anchor, hops, distinct)
 
 
-def _paths(routes: _Routes, anchor: str, hops: int, distinct: bool) -> DataFrame:
+def _paths(routes: Routes, anchor: str, hops: int, distinct: bool) -> DataFrame:
     if hops < 1:
         raise ValueError("hops must be at least 1")
     paths = routes.steps.filter(F.col("dst") == anchor).select(
@@ -123,18 +131,32 @@ def _paths(routes: _Routes, anchor: str, hops: int, distinct: bool) -> DataFrame
     return paths.select(*[f"v{i}" for i in range(1, hops + 1)], "matches")
 
 
-def count_motif(g: Graph, anchor: str, hops: int = 1, distinct: bool = False) -> DataFrame:
+def _count_into(g: Graph, anchor: str, distinct: bool) -> DataFrame:
+    """Edges into the anchor from known vertices; reads only those, without a merge of all."""
+    ids = _ids(g)
+    into = g.edges.filter((F.col("dst") == anchor) & F.col("src").isNotNull())
+    if distinct:
+        into = into.filter(F.col("src") != anchor)
+    per_source = into.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("matches"))
+    known = per_source.join(ids.toDF("src"), "src", "left_semi").join(
+        ids.filter(F.col("id") == anchor).toDF("dst"), "dst", "left_semi"
+    )
+    return known.agg(F.coalesce(F.sum("matches"), F.lit(0).cast("bigint")).alias("matches"))
+
+
+def count_motif(
+    g: Graph, anchor: str, hops: int = 1, distinct: bool = False, routes: Routes | None = None
+) -> DataFrame:
     """One row: how many matches ``find_motif`` has.
 
     The last hop is never enumerated. Its matches are the in-degree of the vertex before it,
     less the edges that come from vertices already on the path. A three-hop count
     therefore makes no more rows than the graph has distinct edges.
     """
-    routes = _merge_routes(g, Stage(g.edges.sparkSession))
-    nothing = F.lit(0).cast("bigint")
     if hops == 1:
-        ends = _paths(routes, anchor, 1, distinct)
-        return ends.agg(F.coalesce(F.sum("matches"), nothing).alias("matches"))
+        return _count_into(g, anchor, distinct)
+    routes = routes or merge_routes(g)
+    nothing = F.lit(0).cast("bigint")
     last = f"v{hops - 1}"
     paths = _paths(routes, anchor, hops - 1, distinct)
     closing, taken = F.sum("edges"), nothing
@@ -159,25 +181,24 @@ def count_motif(g: Graph, anchor: str, hops: int = 1, distinct: bool = False) ->
     return per_vertex.join(into, last).agg(F.coalesce(total, nothing).alias("matches"))
 
 
-def distances_to(g: Graph, landmarks: list[str]) -> DataFrame:
+def distances_to(g: Graph, landmarks: list[str], routes: Routes | None = None) -> DataFrame:
     """Hops from every vertex to each landmark it can reach: ``id``, ``landmark``, ``hop``.
 
     Breadth-first from the landmarks against the direction of the edges. Each round
     joins only the newest vertices, and is written as one partition ``hop=k`` of a table.
     """
     stage = Stage(g.edges.sparkSession)
-    routes = _merge_routes(g, stage)
+    routes = routes or merge_routes(g)
     steps = routes.steps.select("src", F.col("dst").alias("id"))
     start = _ids(g).filter(F.col("id").isin(list(landmarks)))
-    rows = stage.write(start.select("id", F.col("id").alias("landmark")), "reached/hop=0")
+    newest = stage.put(start.select("id", F.col("id").alias("landmark")), "reached/hop=0")
     hop = 0
-    while rows:
+    while not newest.isEmpty():
         reached = _reached(stage)
-        newest = reached.filter(F.col("hop") == hop).select("id", "landmark")
         found = routes.join(steps, newest, "id").select(F.col("src").alias("id"), "landmark")
         fresh = found.distinct().join(reached, ["id", "landmark"], "left_anti")
         hop += 1
-        rows = stage.write(fresh, f"reached/hop={hop}")
+        newest = stage.put(fresh, f"reached/hop={hop}")
     return _reached(stage)
 
 
@@ -193,35 +214,42 @@ def distance_map(distances: DataFrame) -> DataFrame:
     return distances.groupBy("id").agg(F.map_from_entries(pairs).alias("distances"))
 
 
-def farthest(g: Graph, landmark: str, attributes: tuple[str, ...] = ("name",)) -> DataFrame:
+def farthest(
+    g: Graph,
+    landmark: str,
+    attributes: tuple[str, ...] = ("name",),
+    routes: Routes | None = None,
+) -> DataFrame:
     """The reachable vertices with the most hops to the landmark, with their attributes."""
-    distances = distances_to(g, [landmark])
+    distances = distances_to(g, [landmark], routes)
     most = distances.select(F.max("hop")).scalar()
     ends = distances.filter(F.col("hop") == most).select("id", F.col("hop").alias("distance"))
     return ends.join(g.vertices.select("id", *attributes), "id")
 
 
-def connected_components(g: Graph, max_rounds: int = 100) -> DataFrame:
+def connected_components(
+    g: Graph, routes: Routes | None = None, max_rounds: int = 100
+) -> DataFrame:
     """The smallest vertex id of each vertex's component, edges taken as undirected.
 
     Alternates the large-star and small-star steps of Kiveris et al., "Connected Components
-    in MapReduce and Beyond" (2014), until neither changes an edge. What is left are stars
+    in MapReduce and Beyond" (2014), until neither moves a link. What is left are stars
     around the smallest id.
     """
     stage = Stage(g.edges.sparkSession)
-    links = (
-        _merge_routes(g, stage)
-        .steps.filter("src <> dst")
-        .select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b"))
-        .distinct()
+    routes = routes or merge_routes(g)
+    links = routes.steps.filter("src <> dst").select(
+        F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")
     )
-    links, rows = stage.put(links, "links")
+    links = stage.put(links.distinct(), "links")
     for round_number in range(max_rounds):
-        if not rows:
-            break
-        links, moved_up = _star(stage, links, _large_star, f"large{round_number % 2}")
-        links, moved_down = _star(stage, links, _small_star, f"small{round_number % 2}")
-        if not moved_up and not moved_down:
+        # centres gather most links as the rounds go on, so heavy keys are sought in each step
+        crowded = links.count() >= skew.HEAVY_ROWS
+        large = _large_star(links.select("a", "b", F.lit(False).alias("moved")), crowded)
+        if crowded:
+            large = stage.put(large, "large")
+        links = stage.put(_small_star(large, crowded), f"small{round_number % 2}")
+        if links.filter("moved").isEmpty():
             break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
@@ -231,38 +259,31 @@ def connected_components(g: Graph, max_rounds: int = 100) -> DataFrame:
     )
 
 
-def _star(stage: Stage, links: DataFrame, step, slot: str) -> tuple[DataFrame, int]:
-    """Run one star step and write it; also how many links it moved."""
-    seen = Observation()
-    moved = step(links).observe(seen, F.coalesce(F.sum("moved"), F.lit(0)).alias("moved"))
-    written, _ = stage.put(moved.drop("moved").distinct(), slot)
-    return written, seen.get["moved"]
-
-
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, crowded: bool) -> DataFrame:
     """Link each larger neighbour of ``b`` to the smallest vertex around ``b``."""
     # b is below each a, so the smallest vertex around b is b or a smaller neighbour
     lowest = links.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("_low"))
-    joined = skew.join_lookup(links, lowest, "b", how="left")
-    return joined.select(
+    join = skew.join_lookup if crowded else DataFrame.join
+    stepped = join(links, lowest, "b", how="left").select(
         "a",
         F.coalesce("_low", "b").alias("b"),
-        F.col("_low").isNotNull().cast("int").alias("moved"),
+        (F.col("moved") | F.col("_low").isNotNull()).alias("moved"),
     )
+    return stepped.groupBy("a", "b").agg(F.bool_or("moved").alias("moved"))
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, crowded: bool) -> DataFrame:
     """Link each vertex and its smaller neighbours to the smallest of them."""
     lowest = links.groupBy("a").agg(F.min("b").alias("_low"))
-    joined = skew.join_lookup(links, lowest, "a").withColumn(
-        "moved", (F.col("b") != F.col("_low")).cast("int")
-    )
+    join = skew.join_lookup if crowded else DataFrame.join
+    moves = F.col("b") != F.col("_low")
     # the smallest neighbour keeps its link to a, every other one is linked to the smallest
-    return joined.select(
-        F.when(F.col("moved") == 0, F.col("a")).otherwise(F.col("b")).alias("a"),
+    stepped = join(links, lowest, "a", how="inner").select(
+        F.when(moves, F.col("b")).otherwise(F.col("a")).alias("a"),
         F.col("_low").alias("b"),
-        "moved",
+        (F.col("moved") | moves).alias("moved"),
     )
+    return stepped.groupBy("a", "b").agg(F.bool_or("moved").alias("moved"))
 
 
 def component_sizes(components: DataFrame, min_size: int = 2) -> DataFrame:

@@ -17,9 +17,10 @@ MAX_HEAVY_KEYS = 10_000
 
 
 def heavy_keys(
-    df: DataFrame, key: str, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
+    df: DataFrame, key: str, min_rows: int | None = None, max_keys: int = MAX_HEAVY_KEYS
 ) -> DataFrame:
     """The largest keys of ``df`` with at least ``min_rows`` rows, ``max_keys`` at most."""
+    min_rows = HEAVY_ROWS if min_rows is None else min_rows
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     return (
         counts.filter(F.col(key).isNotNull() & (F.col("_rows") >= min_rows))

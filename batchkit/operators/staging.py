@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -36,18 +36,11 @@ class Stage:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def put(self, df: DataFrame, name: str) -> tuple[DataFrame, int]:
-        """Write ``df`` under ``name``, replacing what was there; the table and its row count.
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` under ``name``, replacing what was there, and read it back.
 
-        Must not be called with the table that ``df`` reads from.
+        Must not be called with the table that ``df`` reads from. Counting the result is
+        cheap: the row count is in the footers of the files.
         """
-        rows = self.write(df, name)
-        return self.spark.read.schema(df.schema).parquet(self.path(name)), rows
-
-    def write(self, df: DataFrame, name: str) -> int:
-        """Write ``df`` under ``name`` and count its rows in the same pass."""
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(
-            self.path(name)
-        )
-        return seen.get["rows"]
+        df.write.mode("overwrite").parquet(self.path(name))
+        return self.spark.read.schema(df.schema).parquet(self.path(name))

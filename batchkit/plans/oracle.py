@@ -158,7 +158,7 @@ ORACLE: dict[str, str] = {
         WHERE x.p < y.p OR x.c > 1 GROUP BY 1, 2""",
     "basket_pair_topk": f"""
         WITH {_PURCHASES}, items AS (
-            SELECT DISTINCT o_custkey AS k, CAST(l_partkey AS VARCHAR) AS p FROM purchases)
+            SELECT DISTINCT o_custkey AS k, l_partkey AS p FROM purchases)
         SELECT x.p AS product_a, y.p AS product_b, count(*) AS n
         FROM items x JOIN items y ON x.k = y.k AND x.p < y.p GROUP BY 1, 2
         ORDER BY n DESC, product_a DESC, product_b DESC LIMIT 5""",

@@ -69,10 +69,7 @@ def basket_pair_count_repeats(spark, sf_dir):
 
 @query
 def basket_pair_topk(spark, sf_dir):
-    bought = tables.purchases(spark, sf_dir).select(
-        "o_custkey", F.col("l_partkey").cast("string").alias("product")
-    )
-    return basket.top_pairs(bought, "o_custkey", "product", 5)
+    return basket.top_pairs(tables.purchases(spark, sf_dir), "o_custkey", "l_partkey", 5)
 
 
 # ratings

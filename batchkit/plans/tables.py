@@ -139,7 +139,7 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents").select(
         "doc_id", "text", F.col("source").alias("summary"), F.col("n_chars").alias("score")
     )
-    return labels.join(documents, "doc_id").dropna(subset=["text", "summary"])
+    return labels.join(sources.spread(documents), "doc_id").dropna(subset=["text", "summary"])
 
 
 def event_graph(spark: SparkSession, sf_dir: str) -> graph.Graph:

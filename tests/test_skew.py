@@ -1,0 +1,47 @@
+import pytest
+from pyspark.sql import functions as F
+
+from batchkit.operators import skew
+
+
+@pytest.fixture
+def facts(spark):
+    # key 1 holds a third of the rows, in identical copies
+    return spark.range(300).select(
+        F.when(F.col("id") < 100, 1).otherwise(F.col("id") % 50).cast("int").alias("k"),
+        F.when(F.col("id") < 100, 0).otherwise(F.col("id")).alias("v"),
+    ).union(spark.sql("SELECT CAST(NULL AS INT), 7L"))
+
+
+@pytest.fixture
+def lookup(spark):
+    return spark.range(1, 40).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("w"))
+
+
+def test_heavy_keys_are_the_largest(facts, rows):
+    assert rows(skew.heavy_keys(facts, "k", min_rows=50)) == [(1,)]
+    assert len(rows(skew.heavy_keys(facts, "k", min_rows=1, max_keys=3))) == 3
+    assert rows(skew.heavy_keys(facts, "k")) == []
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+@pytest.mark.parametrize("min_rows", [1, 50, 10_000])
+def test_join_lookup_is_a_join(facts, lookup, rows, how, min_rows):
+    heavy = skew.heavy_keys(facts, "k", min_rows)
+    assert rows(skew.join_lookup(facts, lookup, "k", heavy, how)) == rows(
+        facts.join(lookup, "k", how)
+    )
+
+
+@pytest.mark.parametrize("min_rows", [1, 50, 10_000])
+def test_join_salted_is_a_join(facts, lookup, rows, min_rows):
+    right = lookup.union(lookup.withColumn("w", F.col("w") + 1000))
+    heavy = skew.heavy_keys(facts, "k", min_rows)
+    got = skew.join_salted(facts, right, "k", ["v"], heavy, salts=8)
+    assert rows(got) == rows(facts.join(right, "k"))
+
+
+def test_heavy_rows_are_not_shuffled(spark, facts, lookup):
+    joined = skew.join_lookup(facts, lookup, "k", skew.heavy_keys(facts, "k", 50))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftAnti" in plan

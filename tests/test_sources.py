@@ -1,0 +1,113 @@
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from batchkit import sources
+from batchkit.operators.staging import Stage, checkpoint_root
+
+
+def test_lines_round_trip(spark, tmp_path, rows):
+    df = spark.createDataFrame([("a b",), ("",), ("c",)], "line string")
+    sources.write_lines(df, str(tmp_path / "out"))
+    assert rows(sources.read_lines(spark, str(tmp_path / "out"))) == rows(df)
+
+
+def test_single_file(spark, tmp_path):
+    df = spark.range(100).repartition(4).selectExpr("CAST(id AS STRING) AS line")
+    sources.write_lines(df, str(tmp_path / "many"))
+    sources.write_lines(df, str(tmp_path / "one"), single_file=True)
+    assert len(list((tmp_path / "many").glob("part-*"))) == 4
+    assert len(list((tmp_path / "one").glob("part-*"))) == 1
+
+
+def test_key_value_round_trip(spark, tmp_path, rows):
+    df = spark.createDataFrame([("A,B", 3), ('say "hi"', 4)], "pair string, n int")
+    sources.write_key_value(df, str(tmp_path / "kv"))
+    text = "".join(p.read_text() for p in (tmp_path / "kv").glob("part-*"))
+    assert 'say "hi"\t4\n' in text
+    assert rows(sources.read_key_value(spark, str(tmp_path / "kv"), df.schema)) == rows(df)
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_csv_round_trip(spark, tmp_path, rows, header):
+    df = spark.createDataFrame([('a, "b"', 1.5), ("c", None)], "name string, v double")
+    sources.write_csv(df, str(tmp_path / "csv"), header=header)
+    back = sources.read_table(spark, str(tmp_path / "csv"), df.schema, header=header)
+    assert rows(back) == rows(df)
+
+
+def test_inferred_and_declared_types(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("User_ID,Name,City\n1,Ann,Turin\n2,Bob,Rome\n")
+    path = str(tmp_path / "t.csv")
+    assert dict(sources.read_table(spark, path, infer=True).dtypes)["User_ID"] == "int"
+    assert dict(sources.read_table(spark, path).dtypes)["User_ID"] == "string"
+    declared = sources.read_table(spark, path, "User_ID long, Name string, City string")
+    assert declared.first() == (1, "Ann", "Turin")
+
+
+def test_tab_separated_stations(spark, tmp_path, rows):
+    (tmp_path / "s.csv").write_text("id\tlongitude\tlatitude\tname\n1\t2.18\t41.4\tGran Via\n")
+    table = sources.read_table(spark, str(tmp_path / "s.csv"), sep="\t", infer=True)
+    assert rows(table) == [(1, 2.18, 41.4, "Gran Via")]
+
+
+def test_quoted_fields_with_line_breaks(spark, tmp_path, rows):
+    (tmp_path / "q.csv").write_text('Id,Text\n1,"said ""no"",\nthen left"\n')
+    table = sources.read_table(spark, str(tmp_path / "q.csv"), multi_line=True)
+    assert rows(table) == [("1", 'said "no",\nthen left')]
+
+
+def test_drop_header_and_parse(spark, rows):
+    lines = spark.createDataFrame([("id,v ",), ("1,2.5",), ("x,3",)], "line string")
+    body = sources.drop_header(lines, "id,v")
+    assert rows(sources.parse_delimited(body, "id int, v double")) == [(1, 2.5), (None, 3.0)]
+    schema = spark.createDataFrame([], "id int, v double").schema
+    assert rows(sources.parse_delimited(body, schema)) == [(1, 2.5), (None, 3.0)]
+
+
+def test_parse_timestamp(spark):
+    lines = spark.createDataFrame([("1\t2008-05-15 12:01:00\t0\t18",)], "line string")
+    row = sources.parse_delimited(
+        lines, "station int, timestamp timestamp, used int, free int", sep="\t"
+    ).first()
+    assert (row.station, row.timestamp.hour, row.free) == (1, 12, 18)
+
+
+def test_csv_line_and_register(spark, rows):
+    df = spark.createDataFrame([("FR", 2), (None, 1)], "country string, n int")
+    assert rows(sources.to_csv_line(df, ["country", "n"])) == [(",1",), ("FR,2",)]
+    sources.register(df, "plans_seen")
+    assert spark.sql("SELECT max(n) FROM plans_seen").first()[0] == 2
+
+
+def test_spread_leaves_large_inputs_alone(spark):
+    wide = spark.range(0, 1000, 1, 64)
+    assert sources.spread(wide) is wide
+    assert sources.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
+
+
+def test_stage_writes_to_the_folder_of_the_session(spark):
+    stage = Stage(spark)
+    assert stage.root.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
+    assert stage.put(spark.range(5), "numbers").count() == 5
+    assert stage.put(spark.range(3).filter(F.col("id") > 5), "numbers").isEmpty()
+
+
+def fake_session(master):
+    folders = []
+    context = SimpleNamespace(
+        master=master,
+        getCheckpointDir=lambda: folders[-1] if folders else None,
+        setCheckpointDir=folders.append,
+    )
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context
+    )
+
+
+def test_only_a_local_session_gets_a_temporary_folder():
+    local = fake_session("local[2]")
+    assert checkpoint_root(local) == checkpoint_root(local)
+    with pytest.raises(ValueError):
+        checkpoint_root(fake_session("yarn"))
