@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from batchkit.operators import rank, skew
+from batchkit.operators.staging import Stage
 
 # Products of one basket that one task expands: at most BLOCK * (BLOCK - 1) / 2 pairs of a
 # diagonal cell, BLOCK * BLOCK of the others.
@@ -44,9 +45,11 @@ def _cells(items: DataFrame, block: int, max_large: int) -> DataFrame:
     Cell (i, j) receives block i and block j, so every pair of products meets in exactly one
     cell. Ordinary baskets are a single cell.
     """
+    # counts the items in a way that reads all their columns, so that this and the main path
+    # share one shuffle
     large = (
         items.groupBy("basket")
-        .agg(F.count(F.lit(1)).alias("_size"))
+        .agg(F.sum(F.least("copies", F.lit(1))).alias("_size"))
         .filter(F.col("_size") > block)
         .orderBy(F.desc("_size"), "basket")
         .limit(max_large)
@@ -100,12 +103,15 @@ def pair_counts(
 
 
 def _pair_counts(items: DataFrame, distinct: bool, block: int, max_large: int) -> DataFrame:
+    if distinct:
+        items = items.withColumn("copies", F.lit(1))
     pairs = _expand(_cells(items, block, max_large)).select(
         F.col("_a.product").alias("product_a"),
         F.col("_b.product").alias("product_b"),
-        (F.lit(1) if distinct else F.col("_a.copies") * F.col("_b.copies")).alias("_n"),
+        (F.col("_a.copies") * F.col("_b.copies")).alias("_n"),
     )
-    counted = pairs.groupBy("product_a", "product_b").agg(F.sum("_n").alias("n"))
+    number = F.count(F.lit(1)) if distinct else F.sum("_n")
+    counted = pairs.groupBy("product_a", "product_b").agg(number.alias("n"))
     if distinct:
         return counted
     twice = (
@@ -135,17 +141,16 @@ def top_pairs(
     it the result is the same.
     """
     items = basket_items(df, basket, product).select("basket", "product")
+    # read five times below, so written once
+    items = Stage(df.sparkSession).put(items, "items")
     support = items.groupBy("product").agg(F.count(F.lit(1)).alias("_baskets"))
     leaders = rank.top_k(support, [F.desc("_baskets"), F.col("product")], head)
     among = items.join(F.broadcast(leaders.select("product")), "product", "left_semi")
-    one = F.lit(1).cast("bigint").alias("copies")
     best = rank.top_k(
-        _pair_counts(among.select("*", one), True, block, max_large).select("n"),
-        [F.desc("n")],
-        k,
+        _pair_counts(among, True, block, max_large).select("n"), [F.desc("n")], k
     )
     bound = best.agg(F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(0)).scalar()
     frequent = support.filter(F.col("_baskets") >= bound).select("product")
     kept = skew.join_lookup(items, frequent, "product", how="left_semi")
-    counted = _pair_counts(kept.select("*", one), True, block, max_large)
+    counted = _pair_counts(kept, True, block, max_large)
     return rank.top_k(counted, [F.desc("n"), F.desc("product_a"), F.desc("product_b")], k)

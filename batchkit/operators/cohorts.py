@@ -55,21 +55,22 @@ def distinct_views_per_year(
     student: str = "SID",
     lecture: str = "LID",
     time: str = "time",
-    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct lectures each student watched per year, for the given ``lectures`` only.
 
-    Views are reduced to distinct (student, year, lecture) before the join; a lecture that
-    everybody watches joins through the broadcast path of ``join_lookup``.
+    A list of lectures of checked size is broadcast, which drops all other views where they
+    are read. A longer list takes ``join_lookup``, where lectures that everybody watches
+    do not crowd one task.
     """
-    seen = (
-        views.select(student, year_of(F.col(time)).alias("year"), lecture)
-        .filter(F.col("year").between(*years))
-        .distinct()
+    seen = views.select(student, year_of(F.col(time)).alias("year"), lecture).filter(
+        F.col("year").between(*years)
     )
     wanted = lectures.select(lecture).distinct()
-    kept = skew.join_lookup(seen, wanted, lecture, heavy, how="left_semi")
-    return kept.groupBy(student, "year").agg(F.count(F.lit(1)).alias("n"))
+    if skew.fits_broadcast(wanted):
+        kept = seen.join(F.broadcast(wanted), lecture, "left_semi")
+    else:
+        kept = skew.join_lookup(seen, wanted, lecture, how="left_semi")
+    return distinct_count(kept, [student, "year"], lecture)
 
 
 def zero_filled_counts(

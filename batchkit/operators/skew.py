@@ -15,6 +15,15 @@ HEAVY_ROWS = 1_000_000
 # 1/10,000 of the rows and goes through the ordinary shuffle join.
 MAX_HEAVY_KEYS = 10_000
 
+# A broadcast of this many keys takes some tens of megabytes.
+BROADCAST_ROWS = 500_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether ``df`` has few enough rows to broadcast; stops counting beyond the bound."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(max_rows + 1).count() <= max_rows
+
 
 def heavy_keys(
     df: DataFrame, key: str, min_rows: int | None = None, max_keys: int = MAX_HEAVY_KEYS
@@ -41,6 +50,9 @@ def join_lookup(
     it at run time. ``heavy`` is a bounded one-column list if the caller has one already.
     ``how`` is inner, left or left_semi.
     """
+    if how != "left":
+        # a NULL key meets nothing; said once here, all branches below read the same input
+        facts = facts.filter(F.col(key).isNotNull())
     heavy = F.broadcast(heavy_keys(facts, key) if heavy is None else heavy.toDF(key))
     hot_lookup = F.broadcast(lookup.join(heavy, key, "left_semi"))
     hot = facts.join(heavy, key, "left_semi").join(hot_lookup, key, how)

@@ -168,13 +168,13 @@ ORACLE: dict[str, str] = {
                           THEN (l_quantity - avg(l_quantity) OVER w) / stddev_samp(l_quantity) OVER w
                           ELSE 0 END, 4) + 0.0::DOUBLE AS zscore
         FROM lineitem WINDOW w AS (PARTITION BY l_orderkey)""",
-    "product_mean_zscore": f"""
-        WITH {_PURCHASES}, scored AS (
+    "product_mean_zscore": """
+        WITH scored AS (
             SELECT l_partkey,
                    CASE WHEN stddev_samp(l_quantity) OVER w > 1e-8
                         THEN (l_quantity - avg(l_quantity) OVER w) / stddev_samp(l_quantity) OVER w
                         ELSE 0 END AS z
-            FROM purchases WINDOW w AS (PARTITION BY o_custkey))
+            FROM lineitem WINDOW w AS (PARTITION BY l_suppkey))
         SELECT l_partkey, round(avg(z), 4) + 0.0::DOUBLE AS mean_zscore
         FROM scored GROUP BY l_partkey""",
     "two_level_count": """

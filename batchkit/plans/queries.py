@@ -85,8 +85,8 @@ def user_zscore(spark, sf_dir):
 
 @query
 def product_mean_zscore(spark, sf_dir):
-    scores = tables.purchases(spark, sf_dir)
-    means = ratings.mean_normalised(scores, "o_custkey", "l_partkey", "l_quantity")
+    scores = tables.load(spark, sf_dir, "lineitem")
+    means = ratings.mean_normalised(scores, "l_suppkey", "l_partkey", "l_quantity")
     return means.withColumn("mean_zscore", F.round("mean_zscore", 4))
 
 

@@ -65,11 +65,13 @@ def test_extremes_of_nothing(spark, rows):
     assert rows(cohorts.select_extremes(df, "a", "b")) == []
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 500])
 @pytest.mark.parametrize("heavy_rows", [1, 10**9])
-def test_distinct_views_per_year(lectures, views, rows, heavy_rows):
-    heavy = skew.heavy_keys(views, "LID", heavy_rows)
+def test_distinct_views_per_year(lectures, views, rows, monkeypatch, broadcast_rows, heavy_rows):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy_rows)
     watched = lectures.filter("CID = 'watched'")
-    got = cohorts.distinct_views_per_year(views, watched, (2022, 2023), heavy=heavy)
+    got = cohorts.distinct_views_per_year(views, watched, (2022, 2023))
     assert rows(got) == [("s1", 2023, 2), ("s2", 2022, 1)]
 
 
