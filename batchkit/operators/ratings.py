@@ -5,21 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from batchkit.operators import skew
+from batchkit.operators.staging import Stage
 
 
-def zscore(
-    df: DataFrame, group: str, value: str, eps: float = 1e-8, heavy: DataFrame | None = None
-) -> DataFrame:
+def zscore(df: DataFrame, group: str, value: str, eps: float = 1e-8) -> DataFrame:
     """Add ``zscore``: distance of the row from the mean of its group in sample deviations.
 
-    It is 0 for a group of one row and where the deviation is at most ``eps``. Mean and
-    deviation come from an aggregate that is joined back rather than from a window: a window
-    would sort all rows of a user in one task.
+    It is 0 for a group of one row and where the deviation is at most ``eps``. Rows without
+    a group are left out. Mean and deviation come from an aggregate that is joined back
+    rather than from a window: a window would sort all rows of a user in one task.
     """
     stats = df.groupBy(group).agg(
-        F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")
+        F.count(F.lit(1)).alias("_rows"),
+        F.avg(value).alias("_mean"),
+        F.stddev_samp(value).alias("_std"),
     )
-    joined = skew.join_lookup(df, stats, group, heavy)
+    stats = Stage(df.sparkSession).put(stats, "stats")
+    joined = skew.join_counted(df, stats, group, "_rows")
     score = F.when(F.col("_std") > eps, (F.col(value) - F.col("_mean")) / F.col("_std"))
     return joined.withColumn("zscore", score.otherwise(F.lit(0.0))).drop("_mean", "_std")
 

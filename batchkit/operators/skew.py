@@ -60,6 +60,22 @@ def join_lookup(
     return cold.unionByName(hot)
 
 
+def join_counted(facts: DataFrame, lookup: DataFrame, key: str, rows: str) -> DataFrame:
+    """Inner join to a written ``lookup`` that also knows the ``rows`` each key has in ``facts``.
+
+    The numbers are at hand, so the path is chosen before the facts are read: a short lookup is
+    broadcast, heavy keys are split off only where there are any.
+    """
+    columns = lookup.drop(rows)
+    if fits_broadcast(lookup):
+        return facts.join(F.broadcast(columns), key)
+    heavy = lookup.filter(F.col(rows) >= HEAVY_ROWS).orderBy(F.desc(rows), key)
+    heavy = heavy.limit(MAX_HEAVY_KEYS).select(key)
+    if heavy.isEmpty():
+        return facts.join(columns, key)
+    return join_lookup(facts, columns, key, heavy)
+
+
 def join_salted(
     left: DataFrame,
     right: DataFrame,

@@ -25,13 +25,15 @@ def test_golden(spark, rows):
     assert means["b"] == pytest.approx(0.7071 / 2, abs=1e-4)
 
 
-@pytest.mark.parametrize("heavy_rows", [10, 10**9])
-def test_against_brute_force(spark, heavy_rows):
+@pytest.mark.parametrize("broadcast_rows", [0, 500])
+@pytest.mark.parametrize("heavy_rows", [100, 10**9])
+def test_against_brute_force(spark, monkeypatch, broadcast_rows, heavy_rows):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
+    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy_rows)
     rng = random.Random(3)
     data = [(min(rng.randrange(9), 3), i, float(rng.randrange(1, 6))) for i in range(300)]
     df = spark.createDataFrame(data, "u int, p int, s double")
-    heavy = skew.heavy_keys(df, "u", heavy_rows)
-    got = {(r.u, r.p): r.zscore for r in ratings.zscore(df, "u", "s", heavy=heavy).collect()}
+    got = {(r.u, r.p): r.zscore for r in ratings.zscore(df, "u", "s").collect()}
     assert len(got) == len(data)
     for user in {u for u, _, _ in data}:
         scores = [s for u, _, s in data if u == user]
