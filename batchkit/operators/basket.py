@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from batchkit.operators import rank, skew
 from batchkit.operators.staging import Stage
 
-# Products of one basket that one task expands: at most BLOCK * (BLOCK - 1) / 2 pairs of a
-# diagonal cell, BLOCK * BLOCK of the others.
-BLOCK = 500
+# Products of a block. A cell makes at most about BLOCK * BLOCK pairs, and copying the
+# products of a large basket to their cells adds 2 / BLOCK rows per pair.
+BLOCK = 128
 MAX_LARGE_BASKETS = 100_000
 
 
@@ -67,20 +67,23 @@ def _cells(items: DataFrame, block: int, max_large: int) -> DataFrame:
     )
 
 
-def _expand(cells: DataFrame) -> DataFrame:
-    """All pairs a < b of each cell, as rows with the copies of both products."""
+def _expand(cells: DataFrame, distinct: bool) -> DataFrame:
+    """The pairs of each cell: within a block on the diagonal, between two blocks elsewhere."""
+    entry = F.col("product") if distinct else F.struct("product", "copies")
+    in_first = F.col("_own") == F.col("_i")
     members = cells.groupBy("basket", "_i", "_j").agg(
-        F.sort_array(F.collect_list(F.struct("product", "copies", "_own"))).alias("_items")
+        F.collect_list(F.when(in_first, entry)).alias("_first"),
+        F.collect_list(F.when(~in_first, entry)).alias("_second"),
     )
-    first = members.filter(F.size("_items") > 1).select(
-        "_i", "_j", "_items", F.posexplode("_items").alias("_pos", "_a")
-    )
-    rest = F.slice("_items", F.col("_pos") + 2, F.size("_items"))
-    pairs = first.select("_i", "_j", "_a", F.explode(rest).alias("_b"))
-    # off the diagonal, pairs within one block belong to another cell
-    return pairs.filter(
-        (F.col("_i") == F.col("_j")) | (F.col("_a._own") != F.col("_b._own"))
+    opened = members.filter(F.size("_first") + F.size("_second") > 1).select(
+        (F.col("_i") == F.col("_j")).alias("_diagonal"),
+        "_first",
+        "_second",
+        F.posexplode("_first").alias("_pos", "_a"),
     )
+    later = F.slice("_first", F.col("_pos") + 2, F.size("_first"))
+    partners = F.when(F.col("_diagonal"), later).otherwise(F.col("_second"))
+    return opened.select("_a", F.explode(partners).alias("_b"))
 
 
 def pair_counts(
@@ -105,13 +108,14 @@ def pair_counts(
 def _pair_counts(items: DataFrame, distinct: bool, block: int, max_large: int) -> DataFrame:
     if distinct:
         items = items.withColumn("copies", F.lit(1))
-    pairs = _expand(_cells(items, block, max_large)).select(
-        F.col("_a.product").alias("product_a"),
-        F.col("_b.product").alias("product_b"),
-        (F.col("_a.copies") * F.col("_b.copies")).alias("_n"),
-    )
-    number = F.count(F.lit(1)) if distinct else F.sum("_n")
-    counted = pairs.groupBy("product_a", "product_b").agg(number.alias("n"))
+    pairs = _expand(_cells(items, block, max_large), distinct)
+    a, b = F.col("_a"), F.col("_b")
+    if not distinct:
+        pairs = pairs.withColumn("_n", a["copies"] * b["copies"])
+        a, b = a["product"], b["product"]
+    counted = pairs.groupBy(
+        F.least(a, b).alias("product_a"), F.greatest(a, b).alias("product_b")
+    ).agg((F.count(F.lit(1)) if distinct else F.sum("_n")).alias("n"))
     if distinct:
         return counted
     twice = (

@@ -20,9 +20,12 @@ BROADCAST_ROWS = 500_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
-    """Whether ``df`` has few enough rows to broadcast; stops counting beyond the bound."""
-    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has few enough rows to broadcast.
+
+    Counted in full, not behind a limit: a limit would pull that many rows of every
+    partition into one task.
+    """
+    return df.count() <= (BROADCAST_ROWS if max_rows is None else max_rows)
 
 
 def heavy_keys(
