@@ -3,7 +3,9 @@ from collections import Counter
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
+from batchkit.functions import arrays
 from batchkit.operators import basket
 
 
@@ -96,3 +98,18 @@ def test_fewer_pairs_than_k(spark, rows):
 def test_baskets(spark, rows):
     df = spark.createDataFrame([(1, "B"), (1, "A"), (1, "B"), (2, "C")], "u int, p string")
     assert rows(basket.baskets(df, "u", "p")) == [(1, ["A", "B"]), (2, ["C"])]
+
+
+def test_array_route_finds_the_same_pairs(spark):
+    rows = random_rows(8)
+    df = spark.createDataFrame(rows, "u int, p string")
+    pairs = basket.baskets(df, "u", "p").select(F.explode(arrays.pairs(F.col("products"))).alias("x"))
+    by_array = pairs.groupBy("x.first", "x.second").count().collect()
+    assert {(r.first, r.second): r[2] for r in by_array} == brute(rows, True)
+    assert {(r.first, r.second): r[2] for r in by_array} == counted(basket.pair_counts(df, "u", "p"))
+
+
+def test_pairs_of_short_arrays(spark):
+    got = spark.sql("SELECT array('a', 'b', 'c') x UNION ALL SELECT array('a') UNION ALL SELECT array()")
+    sizes = [len(r[0]) for r in got.select(arrays.pairs(F.col("x"))).collect()]
+    assert sizes == [3, 0, 0]
