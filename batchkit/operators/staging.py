@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    A session without the setting uses a folder in its warehouse, which all executors share too.
+    A path without a scheme is taken on the default file system; where that is the local disk of
+    each machine, only a master of ``local`` or ``local[...]`` may use it. A cluster whose nodes
+    mount one file system says so with ``file:``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="batchkit-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not root:
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    master = spark.sparkContext.master
+    if ":/" not in root and not (master == "local" or master.startswith("local[")):
+        context = spark.sparkContext
+        default = context._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(
+            context._jsc.hadoopConfiguration()
+        )
+        if default.getScheme() in (None, "file"):
+            raise ValueError(f"spark.checkpoint.dir needs a folder all executors share, not {root}")
+    return root
 
 
 class Stage:
@@ -44,3 +51,10 @@ class Stage:
         """
         df.write.mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
+
+    def remove(self, *names: str) -> None:
+        """Delete tables that nothing reads any more; without names the whole folder."""
+        context = self.spark.sparkContext
+        for path in [self.path(n) for n in names] or [self.root]:
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
