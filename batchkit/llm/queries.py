@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from batchkit.llm import chat, exact_dedup
+from batchkit.llm import chat, embeddings, exact_dedup, simhash
 from batchkit.llm.common import load
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.find_near(load(spark, sf_dir, "embeddings"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(load(spark, sf_dir, "documents"))
 
@@ -44,4 +48,16 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op2_exact_dedup, op4_chat_format)}
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.find_near(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_embedding_near_dedup,
+        op2_exact_dedup,
+        op4_chat_format,
+        op7_simhash_near_dedup,
+    )
+}
