@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -20,3 +25,17 @@ def narrow(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def crc_mod(id_col: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of ``column``, one row at least."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch[column]).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from batchkit.llm import chat, embeddings, exact_dedup, simhash
+from batchkit.llm import bpe, chat, embeddings, exact_dedup, packing, simhash
 from batchkit.llm.common import load
 
 
@@ -16,6 +17,17 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(load(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokens = bpe.encode(load(spark, sf_dir, "documents"), path)
+    return bpe.decode(tokens, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 PROBE = "</s>[INST] ok [/INST]"
 
 
@@ -52,12 +64,19 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find_near(load(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(load(spark, sf_dir, "documents"), path)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_embedding_near_dedup,
         op2_exact_dedup,
+        op3_bpe,
         op4_chat_format,
         op7_simhash_near_dedup,
+        op9_best_fit_packing,
     )
 }
