@@ -155,25 +155,22 @@ class OpenBins:
 def pack(
     pieces: DataFrame,
     size: int = 2048,
-    open_bins: int = 1024,
-    pieces_per_task: int = 100_000,
+    open_bins: int = 1 << 16,
+    pieces_per_task: int = 50_000,
     id_col: str = "doc_id",
 ) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of at most ``size`` tokens.
 
-    The pieces are dealt out by a hash, about ``pieces_per_task`` to a task, and each task packs its
-    own in the order of another hash by ``OpenBins``; what the last open bins of a task leave empty
-    is small against so many pieces. Sequences are gapless from 0. ``pieces`` should be a written
-    table, as it is counted first. Further columns stay; a longer piece raises an error.
+    The pieces are dealt out by a hash, about ``pieces_per_task`` to a task, and each task places its
+    own one by one by ``OpenBins``, the longest first. In that order the fullest bins are not needed
+    again soon, so ``open_bins`` is more than a task usually opens; it bounds the memory of a task
+    with more. Sequences are gapless from 0. ``pieces`` should be a written table, as it is counted
+    first. Further columns stay; a longer piece raises an error.
     """
     tasks = max(1, round(pieces.count() / pieces_per_task))
-    order = F.xxhash64(id_col, "piece", F.lit(1))
     columns = pieces.columns
-    dealt = (
-        pieces.withColumn("_order", order)
-        .repartition(tasks, F.col(id_col), F.col("piece"))
-        .sortWithinPartitions("_order", id_col, "piece", "ids_crc32")
-        .select(*columns)
+    dealt = pieces.repartition(tasks, F.col(id_col), F.col("piece")).sortWithinPartitions(
+        F.desc("length"), id_col, "piece", "ids_crc32"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
