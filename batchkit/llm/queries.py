@@ -5,7 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from batchkit.llm import bpe, chat, embeddings, exact_dedup, packing, simhash
+from batchkit.llm import (
+    bpe,
+    chat,
+    embeddings,
+    exact_dedup,
+    packing,
+    quality,
+    simhash,
+    toxicity,
+)
 from batchkit.llm.common import load
 
 
@@ -60,6 +69,14 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find_near(load(spark, sf_dir, "documents"))
 
@@ -76,6 +93,8 @@ QUERIES = {
         op2_exact_dedup,
         op3_bpe,
         op4_chat_format,
+        op5_quality,
+        op6_toxicity,
         op7_simhash_near_dedup,
         op9_best_fit_packing,
     )
