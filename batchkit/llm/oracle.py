@@ -38,4 +38,18 @@ ORACLE = {
                    AND arg_max(role, turn) IN ('user', 'assistant') AS valid
         FROM coded GROUP BY conv_id
     """,
+    "op10_warc": """
+        WITH rows AS (
+            SELECT page_id, coalesce(html, '') AS html,
+                   octet_length(encode(coalesce(html, ''))) AS payload_bytes
+            FROM pages
+        ), best AS (
+            SELECT *, max(page_id) OVER (PARTITION BY html) AS best FROM rows
+        )
+        SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
+        FROM best
+    """,
 }

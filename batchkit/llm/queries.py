@@ -10,10 +10,12 @@ from batchkit.llm import (
     chat,
     embeddings,
     exact_dedup,
+    extract,
     packing,
     quality,
     simhash,
     toxicity,
+    warc,
 )
 from batchkit.llm.common import load
 
@@ -81,11 +83,22 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.find_near(load(spark, sf_dir, "documents"))
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(load(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack_documents(load(spark, sf_dir, "documents"), path)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives, read back and merged into one index."""
+    return warc.archive(load(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -96,6 +109,8 @@ QUERIES = {
         op5_quality,
         op6_toxicity,
         op7_simhash_near_dedup,
+        op8_html_extraction,
         op9_best_fit_packing,
+        op10_warc,
     )
 }
