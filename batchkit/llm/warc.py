@@ -144,7 +144,8 @@ class Reader:
             data = b"".join(self.parts)
             if self.head is None:
                 end = data.find(b"\r\n\r\n")
-                if end < 0:
+                # a file may end inside what the pieces were cut at, so line ends may be left over
+                if end < 0 or not data.strip(b"\r\n"):
                     self.parts = [data]
                     return
                 first, *lines = data[:end].decode("utf-8").split("\r\n")
