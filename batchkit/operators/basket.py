@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from batchkit.operators import rank, skew
+from batchkit.operators import rank
 from batchkit.operators.staging import Stage
 
 # Products of a block. A cell makes at most about BLOCK * BLOCK pairs, and copying the
 # products of a large basket to their cells adds 2 / BLOCK rows per pair.
 BLOCK = 128
-MAX_LARGE_BASKETS = 100_000
 
 
 def basket_items(df: DataFrame, basket: str, product: str) -> DataFrame:
@@ -38,24 +37,21 @@ def baskets(df: DataFrame, basket: str, product: str) -> DataFrame:
     )
 
 
-def _cells(items: DataFrame, block: int, max_large: int) -> DataFrame:
-    """Deal the items of large baskets to cells of bounded size.
+def _cells(items: DataFrame, block: int, stage: Stage, name: str) -> DataFrame:
+    """Deal the items of large baskets to cells of bounded size; ``items`` is a written table.
 
     A basket of d products is cut into ceil(d / block) blocks by a hash of the product.
     Cell (i, j) receives block i and block j, so every pair of products meets in exactly one
-    cell. Ordinary baskets are a single cell.
+    cell. Ordinary baskets are a single cell. The sizes of all larger baskets are written, so
+    Spark picks the join by their number and splits the items of a very large basket.
     """
-    # counts the items in a way that reads all their columns, so that this and the main path
-    # share one shuffle
     large = (
         items.groupBy("basket")
-        .agg(F.sum(F.least("copies", F.lit(1))).alias("_size"))
+        .agg(F.count(F.lit(1)).alias("_size"))
         .filter(F.col("_size") > block)
-        .orderBy(F.desc("_size"), "basket")
-        .limit(max_large)
         .select("basket", F.ceil(F.col("_size") / block).cast("int").alias("_blocks"))
     )
-    tagged = items.join(F.broadcast(large), "basket", "left").withColumn(
+    tagged = items.join(stage.put(large, f"large-{name}"), "basket", "left").withColumn(
         "_own",
         F.when(F.col("_blocks").isNull(), 0).otherwise(
             F.pmod(F.xxhash64("product"), F.col("_blocks")).cast("int")
@@ -92,23 +88,22 @@ def pair_counts(
     product: str,
     distinct: bool = True,
     block: int = BLOCK,
-    max_large: int = MAX_LARGE_BASKETS,
 ) -> DataFrame:
     """How many baskets hold each unordered pair of products: ``product_a <= product_b``, ``n``.
 
     With ``distinct=False`` repeated products count: a pair adds the product of both
     numbers of copies, and a product bought c times pairs c(c-1)/2 times with itself.
-    Only the ``max_large`` largest baskets are cut into cells; any other basket has
-    at most 1/max_large of all items.
+    The items and the sizes of large baskets are written, by jobs that run at once.
     """
-    items = basket_items(df, basket, product)
-    return _pair_counts(items, distinct, block, max_large)
+    stage = Stage(df.sparkSession)
+    items = stage.put(basket_items(df, basket, product), "items")
+    return _pair_counts(items, distinct, block, stage, "all")
 
 
-def _pair_counts(items: DataFrame, distinct: bool, block: int, max_large: int) -> DataFrame:
-    if distinct:
-        items = items.withColumn("copies", F.lit(1))
-    pairs = _expand(_cells(items, block, max_large), distinct)
+def _pair_counts(
+    items: DataFrame, distinct: bool, block: int, stage: Stage, name: str
+) -> DataFrame:
+    pairs = _expand(_cells(items, block, stage, name), distinct)
     a, b = F.col("_a"), F.col("_b")
     if not distinct:
         pairs = pairs.withColumn("_n", a["copies"] * b["copies"])
@@ -135,7 +130,6 @@ def top_pairs(
     k: int = 5,
     head: int = 32,
     block: int = BLOCK,
-    max_large: int = MAX_LARGE_BASKETS,
 ) -> DataFrame:
     """The ``k`` most frequent pairs of distinct products; ties go to the larger pair.
 
@@ -144,17 +138,19 @@ def top_pairs(
     that bound cannot be part of the answer. The bound only saves work: with or without
     it the result is the same.
     """
-    items = basket_items(df, basket, product).select("basket", "product")
-    # read five times below, so written once
-    items = Stage(df.sparkSession).put(items, "items")
-    support = items.groupBy("product").agg(F.count(F.lit(1)).alias("_baskets"))
-    leaders = rank.top_k(support, [F.desc("_baskets"), F.col("product")], head)
-    among = items.join(F.broadcast(leaders.select("product")), "product", "left_semi")
+    stage = Stage(df.sparkSession)
+    # read several times below, so written once
+    items = stage.put(basket_items(df, basket, product).select("basket", "product"), "items")
+    support = stage.put(
+        items.groupBy("product").agg(F.count(F.lit(1)).alias("_baskets")), "support"
+    )
+    leaders = rank.top_k(support, [F.desc("_baskets"), F.col("product")], head).select("product")
+    among = stage.put(items.join(leaders, "product", "left_semi"), "among")
     best = rank.top_k(
-        _pair_counts(among, True, block, max_large).select("n"), [F.desc("n")], k
+        _pair_counts(among, True, block, stage, "among").select("n"), [F.desc("n")], k
     )
-    bound = best.agg(F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(0)).scalar()
+    bound = best.agg(F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(0)).first()[0]
     frequent = support.filter(F.col("_baskets") >= bound).select("product")
-    kept = skew.join_lookup(items, frequent, "product", how="left_semi")
-    counted = _pair_counts(kept, True, block, max_large)
+    kept = stage.put(items.join(frequent, "product", "left_semi"), "kept")
+    counted = _pair_counts(kept, True, block, stage, "kept")
     return rank.top_k(counted, [F.desc("n"), F.desc("product_a"), F.desc("product_b")], k)

@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import (
-    IDF,
-    HashingTF,
-    SQLTransformer,
-    StopWordsRemover,
-    Tokenizer,
-    VectorAssembler,
-)
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.feature import IDF, HashingTF, VectorAssembler
+from pyspark.sql import Column, DataFrame, functions as F
 
+from batchkit.functions.text import STOP_WORDS
 from batchkit.operators.staging import Stage
 
 
@@ -31,77 +25,85 @@ def with_label(
     return rated.dropna(subset=list(required)) if required else rated
 
 
+def in_training(key: Column, train: float = 0.75, seed: int = 10) -> Column:
+    """Whether a row with this key is a training row: the start of an md5, as a share of all."""
+    digits = F.substring(F.md5(F.concat_ws(":", key.cast("string"), F.lit(seed))), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") < F.lit(int(train * 2**32))
+
+
 def split(
-    df: DataFrame, train: float = 0.75, seed: int = 10, key: str | None = None
+    df: DataFrame, key: str, train: float = 0.75, seed: int = 10
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows.
+    """Training and test rows. A row's side depends on the key alone and never changes."""
+    side = in_training(F.col(key), train, seed)
+    return df.filter(side), df.filter(~side)
 
-    With a ``key`` a row's side depends on the key alone and never changes. Without one it is
-    ``randomSplit``, whose outcome depends on how the rows are partitioned.
-    """
-    if key is None:
-        first, second = df.randomSplit([train, 1 - train], seed)
-        return first, second
-    share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / 1_000_000
-    return df.filter(share < train), df.filter(share >= train)
-
-
-def text_stages(column: str, num_features: int) -> tuple[list, list[str]]:
-    """Pipeline stages for one text column, and the names of the features they make."""
-    words, kept = f"{column}_words", f"{column}_kept"
-    tf, tf_idf, length = f"{column}_tf", f"{column}_tf_idf", f"{column}_len"
-    stages = [
-        Tokenizer(inputCol=column, outputCol=words),
-        StopWordsRemover(inputCol=words, outputCol=kept),
-        HashingTF(inputCol=kept, outputCol=tf, numFeatures=num_features),
-        IDF(inputCol=tf, outputCol=tf_idf),
-        SQLTransformer(statement=f"SELECT *, len({column}) AS {length} FROM __THIS__"),
-    ]
-    return stages, [length, tf_idf]
 
+def split_random(df: DataFrame, train: float = 0.75, seed: int = 10) -> tuple[DataFrame, DataFrame]:
+    """``randomSplit``: the sides depend on how rows are partitioned, and overlap if that changes."""
+    first, second = df.randomSplit([train, 1 - train], seed)
+    return first, second
 
-def pipeline(
-    texts: dict[str, int],
-    numeric: tuple[str, ...] = (),
-    label: str = "label",
-    max_iter: int = 10,
-    reg_param: float = 0.01,
-) -> Pipeline:
-    """Text columns with their number of hashed features, plus numeric columns, into a
-    logistic regression."""
-    stages, features = [], list(numeric)
-    for column, size in texts.items():
-        more, names = text_stages(column, size)
-        stages += more
-        features += names
-    return Pipeline(
-        stages=[
-            *stages,
-            VectorAssembler(inputCols=features, outputCol="features"),
-            LogisticRegression(
-                featuresCol="features", labelCol=label, maxIter=max_iter, regParam=reg_param
-            ),
-        ]
+
+def kept_words(column: Column) -> Column:
+    """Lower-case words of a text, without English stop words. Blanks in a row hold empty words."""
+    words = F.split(F.regexp_replace(F.lower(column), r"\s+$", ""), r"\s")
+    return F.filter(words, lambda word: ~word.isin(*STOP_WORDS))
+
+
+def encode(
+    df: DataFrame, texts: dict[str, int], keep: list[str], numeric: tuple[str, ...] = ()
+) -> DataFrame:
+    """``keep`` and ``numeric`` columns, and of each text its length, words kept and hashed counts.
+
+    This is the only step that reads a text. What comes out is small: ``<text>_length``,
+    ``<text>_words`` and a sparse vector ``<text>_counts`` with the size that ``texts`` names.
+    """
+    made = df.select(
+        *keep,
+        *numeric,
+        *[kept_words(F.col(t)).alias(t) for t in texts],
+        *[F.length(t).alias(f"{t}_length") for t in texts],
     )
+    for column, size in texts.items():
+        made = HashingTF(inputCol=column, outputCol=f"{column}_counts", numFeatures=size).transform(made)
+        made = made.withColumn(f"{column}_words", F.size(column))
+    return made.drop(*texts)
 
 
 def fit_predict(
-    train: DataFrame,
-    test: DataFrame,
+    df: DataFrame,
     texts: dict[str, int],
+    key: str,
     numeric: tuple[str, ...] = (),
     label: str = "label",
+    max_iter: int = 10,
+    reg_param: float = 0.01,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on ``train`` and predict ``test``; persist the predictions if used repeatedly.
+    """Fit a logistic regression on the training rows of ``df`` and predict its test rows.
+
+    The encoded rows are written once; weighting by inverse document frequency, the regression and
+    the prediction all read them. Runs jobs at once. Persist the predictions if used repeatedly.
 
     The regression is saved and loaded again. A freshly fitted one carries its training
     summary and with it the session, which cannot be sent to the tasks once the session has
     observed any metrics.
     """
-    *features, regression = pipeline(texts, numeric, label).fit(train).stages
-    path = Stage(train.sparkSession).path("regression")
+    stage = Stage(df.sparkSession)
+    encoded = stage.put(encode(df, texts, [key, label], numeric), "encoded")
+    train, test = split(encoded, key)
+    weights = [
+        IDF(inputCol=f"{t}_counts", outputCol=f"{t}_weights").fit(train.select(f"{t}_counts"))
+        for t in texts
+    ]
+    inputs = [*numeric, *(f"{t}_{part}" for t in texts for part in ("length", "weights"))]
+    features = PipelineModel([*weights, VectorAssembler(inputCols=inputs, outputCol="features")])
+    regression = LogisticRegression(
+        featuresCol="features", labelCol=label, maxIter=max_iter, regParam=reg_param
+    ).fit(features.transform(train).select(label, "features"))
+    path = stage.path("regression")
     regression.write().save(path)
-    model = PipelineModel([*features, LogisticRegressionModel.load(path)])
+    model = PipelineModel([*features.stages, LogisticRegressionModel.load(path)])
     return model, model.transform(test)
 
 

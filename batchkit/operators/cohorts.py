@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from batchkit.operators import skew
+from batchkit.operators.staging import Stage
 
 
 def groups_at_least(df: DataFrame, group: list[str], minimum: int) -> DataFrame:
@@ -48,6 +51,19 @@ def year_of(column: Column) -> Column:
     return F.substring(column.cast("string"), 1, 4).cast("int")
 
 
+def in_years(df: DataFrame, time: str, first: int, last: int) -> Column:
+    """Whether ``time`` lies in the years ``first`` to ``last``.
+
+    Dates and timestamps are compared with the first day and the day after the last one, which
+    the scan can use to skip files and row groups; texts go by ``year_of``.
+    """
+    if isinstance(df.schema[time].dataType, (DateType, TimestampType, TimestampNTZType)):
+        start, end = datetime.date(first, 1, 1), datetime.date(last + 1, 1, 1)
+        kind = df.schema[time].dataType.simpleString()
+        return (F.col(time) >= F.lit(start).cast(kind)) & (F.col(time) < F.lit(end).cast(kind))
+    return year_of(F.col(time)).between(first, last)
+
+
 def distinct_views_per_year(
     views: DataFrame,
     lectures: DataFrame,
@@ -55,22 +71,22 @@ def distinct_views_per_year(
     student: str = "SID",
     lecture: str = "LID",
     time: str = "time",
+    owners: DataFrame | None = None,
+    owner_key: str | None = None,
 ) -> DataFrame:
     """Distinct lectures each student watched per year, for the given ``lectures`` only.
 
-    A list of lectures of checked size is broadcast, which drops all other views where they
-    are read. A longer list takes ``join_lookup``, where lectures that everybody watches
-    do not crowd one task.
+    Where the student of a view is in another table, ``owners`` is joined by ``owner_key`` once
+    views of other lectures and years are gone. Spark broadcasts short lists of lectures and splits
+    lectures that everybody watches.
     """
-    seen = views.select(student, year_of(F.col(time)).alias("year"), lecture).filter(
-        F.col("year").between(*years)
+    kept = views.filter(in_years(views, time, *years)).join(
+        lectures.select(lecture), lecture, "left_semi"
     )
-    wanted = lectures.select(lecture).distinct()
-    if skew.fits_broadcast(wanted):
-        kept = seen.join(F.broadcast(wanted), lecture, "left_semi")
-    else:
-        kept = skew.join_lookup(seen, wanted, lecture, how="left_semi")
-    return distinct_count(kept, [student, "year"], lecture)
+    if owners is not None:
+        kept = kept.join(owners, owner_key)
+    seen = kept.select(student, year_of(F.col(time)).alias("year"), lecture)
+    return distinct_count(seen, [student, "year"], lecture)
 
 
 def zero_filled_counts(
@@ -106,7 +122,11 @@ def zero_filled_counts(
 
 
 def select_extremes(df: DataFrame, lowest: str, highest: str) -> DataFrame:
-    """Rows that have both the minimum of ``lowest`` and the maximum of ``highest``."""
+    """Rows that have both the minimum of ``lowest`` and the maximum of ``highest``.
+
+    The rows are written first, by a job that runs at once, so what they come from is computed once.
+    """
+    df = Stage(df.sparkSession).put(df, "counts")
     low = df.select(F.min(lowest)).scalar()
     high = df.select(F.max(highest)).scalar()
     return df.filter((F.col(lowest) == low) & (F.col(highest) == high))

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from batchkit.operators import rank, skew
+from batchkit.operators import rank
 from batchkit.operators.staging import Stage
 
 
@@ -36,13 +36,10 @@ def in_degrees(g: Graph) -> DataFrame:
 
 
 def top_in_degree(g: Graph, k: int = 10, attributes: tuple[str, ...] = ("name",)) -> DataFrame:
-    """The ``k`` largest in-degrees with attributes of the vertex, largest first.
-
-    The k rows are the broadcast side, so the vertex table is read without a shuffle.
-    """
+    """The ``k`` largest in-degrees with attributes of the vertex, largest first."""
     order = [F.desc("in_degree"), F.col("id")]
     best = rank.top_k(in_degrees(g), order, k)
-    named = g.vertices.select("id", *attributes).join(F.broadcast(best), "id")
+    named = g.vertices.select("id", *attributes).join(best, "id")
     return named.select("id", "in_degree", *attributes).orderBy(*order)
 
 
@@ -52,40 +49,29 @@ def _ids(g: Graph) -> DataFrame:
 
 @dataclass(frozen=True)
 class Routes:
-    """Merged edges ``(src, dst, edges)`` between known vertices, and the hubs among them."""
+    """Merged edges ``(src, dst, edges)`` between known vertices, as a written table."""
 
     steps: DataFrame
-    hubs: DataFrame | None
-
-    def join(self, facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
-        """Join many rows per key to one; hubs take the broadcast path, if there are any."""
-        if self.hubs is None:
-            return facts.join(lookup, key, how)
-        return skew.join_lookup(facts, lookup, key, self.hubs, how)
 
 
 def merge_routes(g: Graph) -> Routes:
     """Merge parallel edges and drop those with an end that is not a vertex.
 
-    The merged edges are written once and read by all later joins; hand the result to several
-    measures of the same graph. Hubs are vertices with a heavy number of distinct
-    neighbours on either side. Their list is bounded, and not looked for where all edges
-    together are too few to make one.
+    Runs jobs at once: the merged edges are written and read by all later joins, so hand the result
+    to several measures of the same graph. Both sides of those joins are written tables, with which
+    Spark splits the edges of a vertex that has very many.
     """
     stage = Stage(g.edges.sparkSession)
     merged = stage.put(
         g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges")), "merged"
     )
-    hubs = None
-    if merged.count() >= skew.HEAVY_ROWS:
-        ends = [skew.heavy_keys(merged, end).toDF("id") for end in ("src", "dst")]
-        hubs = stage.put(ends[0].union(ends[1]).distinct(), "hubs")
-        hubs = None if hubs.isEmpty() else hubs
-    found = Routes(merged, hubs)
+    ids = stage.put(_ids(g), "ids")
     known = merged
     for end in ("src", "dst"):
-        known = found.join(known, _ids(g).toDF(end), end, "left_semi")
-    return Routes(stage.put(known, "routes"), hubs)
+        known = known.join(ids.toDF(end), end, "left_semi")
+    steps = stage.put(known, "routes")
+    stage.remove("merged", "ids")
+    return Routes(steps)
 
 
 def _not_seen(column: str, anchor: str, hop: int) -> Column:
@@ -120,11 +106,7 @@ def _paths(routes: Routes, anchor: str, hops: int, distinct: bool) -> DataFrame:
         step = routes.steps.select(
             F.col("src").alias(new), F.col("dst").alias(last), F.col("edges").alias("_edges")
         )
-        if hop == 2 or routes.hubs is None:
-            # at the second hop there is one path per v1: a lookup
-            paths = routes.join(step, paths, last)
-        else:
-            paths = skew.join_salted(step, paths, last, [new], routes.hubs)
+        paths = step.join(paths, last)
         if distinct:
             paths = paths.filter(_not_seen(new, anchor, hop))
         paths = paths.withColumn("matches", F.col("matches") * F.col("_edges")).drop("_edges")
@@ -195,7 +177,7 @@ def distances_to(g: Graph, landmarks: list[str], routes: Routes | None = None) -
     hop = 0
     while not newest.isEmpty():
         reached = _reached(stage)
-        found = routes.join(steps, newest, "id").select(F.col("src").alias("id"), "landmark")
+        found = steps.join(newest, "id").select(F.col("src").alias("id"), "landmark")
         fresh = found.distinct().join(reached, ["id", "landmark"], "left_anti")
         hop += 1
         newest = stage.put(fresh, f"reached/hop={hop}")
@@ -227,63 +209,60 @@ def farthest(
     return ends.join(g.vertices.select("id", *attributes), "id")
 
 
-def connected_components(
-    g: Graph, routes: Routes | None = None, max_rounds: int = 100
-) -> DataFrame:
+def connected_components(g: Graph) -> DataFrame:
     """The smallest vertex id of each vertex's component, edges taken as undirected.
 
     Alternates the large-star and small-star steps of Kiveris et al., "Connected Components
-    in MapReduce and Beyond" (2014), until neither moves a link. What is left are stars
-    around the smallest id.
+    in MapReduce and Beyond" (2014), until every vertex hangs on the smallest id around it, however
+    many rounds that takes. Runs jobs at once; tables of earlier rounds are removed.
     """
     stage = Stage(g.edges.sparkSession)
-    routes = routes or merge_routes(g)
-    links = routes.steps.filter("src <> dst").select(
+    ids = stage.put(_ids(g), "ids")
+    links = g.edges.filter("src <> dst").select(
         F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")
     )
-    links = stage.put(links.distinct(), "links")
-    for round_number in range(max_rounds):
-        # centres gather most links as the rounds go on, so heavy keys are sought in each step
-        crowded = links.count() >= skew.HEAVY_ROWS
-        large = _large_star(links.select("a", "b", F.lit(False).alias("moved")), crowded)
-        if crowded:
-            large = stage.put(large, "large")
-        links = stage.put(_small_star(large, crowded), f"small{round_number % 2}")
-        if links.filter("moved").isEmpty():
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    for end in ("a", "b"):
+        links = links.join(ids.toDF(end), end, "left_semi")
+    links = stage.put(links.select("a", "b").distinct(), "links-0")
+    turn = 0
+    while not _settled(links):
+        large = _large_star(links, stage, turn)
+        links = stage.put(_small_star(large, stage, turn), f"links-{turn + 1}")
+        stage.remove(*(f"{name}-{turn}" for name in ("links", "below", "large", "lowest")))
+        turn += 1
     centre = links.select(F.col("a").alias("id"), F.col("b").alias("_centre"))
-    return _ids(g).join(centre, "id", "left").select(
+    return ids.join(centre, "id", "left").select(
         "id", F.coalesce("_centre", "id").alias("component")
     )
 
 
-def _large_star(links: DataFrame, crowded: bool) -> DataFrame:
+def _settled(links: DataFrame) -> bool:
+    """Whether every vertex hangs on one other at most and nothing hangs on those that do."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(1).alias("up")),
+                                          F.struct(F.col("b").alias("id"), F.lit(0).alias("up")))))
+    counted = ends.groupBy("col.id").agg(F.sum("col.up").alias("up"), F.min("col.up").alias("least"))
+    return counted.filter("up > 1 OR (up = 1 AND least = 0)").isEmpty()
+
+
+def _large_star(links: DataFrame, stage: Stage, turn: int) -> DataFrame:
     """Link each larger neighbour of ``b`` to the smallest vertex around ``b``."""
     # b is below each a, so the smallest vertex around b is b or a smaller neighbour
-    lowest = links.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("_low"))
-    join = skew.join_lookup if crowded else DataFrame.join
-    stepped = join(links, lowest, "b", how="left").select(
-        "a",
-        F.coalesce("_low", "b").alias("b"),
-        (F.col("moved") | F.col("_low").isNotNull()).alias("moved"),
+    below = stage.put(
+        links.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("_low")), f"below-{turn}"
     )
-    return stepped.groupBy("a", "b").agg(F.bool_or("moved").alias("moved"))
+    moved = links.join(below, "b", "left").select("a", F.coalesce("_low", "b").alias("b"))
+    return stage.put(moved.distinct(), f"large-{turn}")
 
 
-def _small_star(links: DataFrame, crowded: bool) -> DataFrame:
+def _small_star(links: DataFrame, stage: Stage, turn: int) -> DataFrame:
     """Link each vertex and its smaller neighbours to the smallest of them."""
-    lowest = links.groupBy("a").agg(F.min("b").alias("_low"))
-    join = skew.join_lookup if crowded else DataFrame.join
+    lowest = stage.put(links.groupBy("a").agg(F.min("b").alias("_low")), f"lowest-{turn}")
     moves = F.col("b") != F.col("_low")
     # the smallest neighbour keeps its link to a, every other one is linked to the smallest
-    stepped = join(links, lowest, "a", how="inner").select(
-        F.when(moves, F.col("b")).otherwise(F.col("a")).alias("a"),
-        F.col("_low").alias("b"),
-        (F.col("moved") | moves).alias("moved"),
+    moved = links.join(lowest, "a").select(
+        F.when(moves, F.col("b")).otherwise(F.col("a")).alias("a"), F.col("_low").alias("b")
     )
-    return stepped.groupBy("a", "b").agg(F.bool_or("moved").alias("moved"))
+    return moved.distinct()
 
 
 def component_sizes(components: DataFrame, min_size: int = 2) -> DataFrame:

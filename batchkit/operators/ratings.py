@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from batchkit.operators import skew
 from batchkit.operators.staging import Stage
 
 
@@ -13,15 +12,15 @@ def zscore(df: DataFrame, group: str, value: str, eps: float = 1e-8) -> DataFram
 
     It is 0 for a group of one row and where the deviation is at most ``eps``. Rows without
     a group are left out. Mean and deviation come from an aggregate that is joined back
-    rather than from a window: a window would sort all rows of a user in one task.
+    rather than from a window: a window would sort all rows of a user in one task. The aggregate
+    is written, by a job that runs at once, so that Spark knows its size for the join and can
+    split the rows of a user who holds very many.
     """
     stats = df.groupBy(group).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.avg(value).alias("_mean"),
-        F.stddev_samp(value).alias("_std"),
+        F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_std")
     )
     stats = Stage(df.sparkSession).put(stats, "stats")
-    joined = skew.join_counted(df, stats, group, "_rows")
+    joined = df.join(stats, group)
     score = F.when(F.col("_std") > eps, (F.col(value) - F.col("_mean")) / F.col("_std"))
     return joined.withColumn("zscore", score.otherwise(F.lit(0.0))).drop("_mean", "_std")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from batchkit.functions.text import STOP_WORDS
+
 _LINES = r"""
     lines AS (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)"""
 
@@ -51,11 +53,10 @@ _WORST = (
         FROM ranked JOIN customer ON station = c_custkey WHERE r = 1)"""
 )
 
-_RETURNS = """
+_VIEWS = """
     views AS (
         SELECT o_custkey, year(l_shipdate) AS y
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_returnflag = 'R' AND l_discount = 0),
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
     counts AS (
         SELECT c_custkey AS CID,
                sum(CASE WHEN y = 1998 THEN 1 ELSE 0 END)::BIGINT AS views_1998,
@@ -118,6 +119,31 @@ _CELLS = """
                d / nullif(b + d, 0) AS p0, d / nullif(c + d, 0) AS r0
         FROM cells)"""
 
+_STOP = ", ".join("'" + word.replace("'", "''") + "'" for word in STOP_WORDS)
+
+_LABELLED = f"""
+    labelled AS (
+        SELECT doc_id, quality AS label, n_chars AS score, text, source
+        FROM labels JOIN documents USING (doc_id) WHERE text IS NOT NULL AND source IS NOT NULL),
+    words AS (
+        SELECT *, list_filter(regexp_split_to_array(regexp_replace(lower(text), '\\s+$', ''), '\\s'),
+                              lambda w: w NOT IN ({_STOP})) AS t,
+                  list_filter(regexp_split_to_array(regexp_replace(lower(source), '\\s+$', ''), '\\s'),
+                              lambda w: w NOT IN ({_STOP})) AS s
+        FROM labelled)"""
+
+_REACH = (
+    _EVENT_GRAPH
+    + """,
+    reach AS (
+        SELECT mark AS id, mark, 0 AS hop FROM (VALUES ('28'), ('7')) AS marks(mark)
+        WHERE mark IN (SELECT id FROM ids)
+        UNION
+        SELECT src, mark, hop + 1 FROM reach JOIN routes ON dst = id
+        WHERE hop < (SELECT count(DISTINCT src) FROM routes)),
+    distances AS (SELECT id, mark, min(hop) AS hop FROM reach GROUP BY id, mark)"""
+)
+
 ORACLE: dict[str, str] = {
     "word_count": f"""
         WITH {_LINES}, words AS (
@@ -146,6 +172,29 @@ ORACLE: dict[str, str] = {
         counts AS (
             SELECT word, count(*) AS n FROM words WHERE starts_with(word, 'th') GROUP BY word)
         SELECT word, n FROM counts WHERE n > 0.02 * (SELECT max(n) FROM counts)""",
+    "prefix_words_observed": f"""
+        WITH {_PREFIX}, words AS (
+            SELECT regexp_replace(unnest(t), '[^a-z]', '', 'g') AS word FROM split WHERE chosen)
+        SELECT word, count(*) AS n,
+               (SELECT sum(len(t)) FROM split WHERE chosen)::BIGINT AS selected_words,
+               (SELECT sum(len(t)) FROM split WHERE NOT chosen)::BIGINT AS unselected_words
+        FROM words GROUP BY word""",
+    "key_value_round_trip": f"""
+        WITH {_PREFIX}, words AS (
+            SELECT regexp_replace(unnest(t), '[^a-z]', '', 'g') AS word FROM split WHERE chosen)
+        SELECT word, count(*) AS n FROM words GROUP BY word""",
+    "csv_round_trip": """
+        SELECT *, CASE WHEN event_id % 5 = 0 THEN '' WHEN event_id % 7 = 0 THEN NULL
+                       ELSE ' ,"' || event_type || ' ' END AS odd
+        FROM events""",
+    "parse_register": f"""
+        WITH {_SLOTS}
+        SELECT station, date_trunc('second', ts) AS timestamp, used AS used_slots,
+               free::BIGINT AS free_slots
+        FROM readings""",
+    "user_product_lists": """
+        SELECT l_orderkey AS basket, string_agg(p::VARCHAR, ',' ORDER BY p) AS products
+        FROM (SELECT DISTINCT l_orderkey, l_partkey AS p FROM lineitem) GROUP BY 1""",
     "basket_pair_count": f"""
         WITH {_PAIRS}
         SELECT x.p AS product_a, y.p AS product_b, count(*) AS n
@@ -192,9 +241,9 @@ ORACLE: dict[str, str] = {
                count(DISTINCT l_partkey) AS n
         FROM purchases JOIN part ON l_partkey = p_partkey
         WHERE p_brand = 'Brand#2' AND year(l_shipdate) BETWEEN 1997 AND 1999 GROUP BY 1, 2""",
-    "zero_filled_year_counts": f"WITH {_RETURNS} SELECT * FROM counts",
+    "zero_filled_year_counts": f"WITH {_VIEWS} SELECT * FROM counts",
     "min_max_year_select": f"""
-        WITH {_RETURNS}
+        WITH {_VIEWS}
         SELECT * FROM counts WHERE views_1998 = (SELECT min(views_1998) FROM counts)
                                AND views_1999 = (SELECT max(views_1999) FROM counts)""",
     "exceeding_organizers": f"""
@@ -251,6 +300,17 @@ ORACLE: dict[str, str] = {
                    sum(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END)::BIGINT AS kept
             FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey
         WHERE o_orderpriority IS NOT NULL""",
+    "classifier_split": f"""
+        WITH {_LABELLED}
+        SELECT doc_id, label,
+               CASE WHEN ('0x' || substr(md5(doc_id || ':10'), 1, 8))::BIGINT < 0.75 * 4294967296
+                    THEN 'train' ELSE 'test' END AS side
+        FROM labelled""",
+    "classifier_features": f"""
+        WITH {_LABELLED}
+        SELECT doc_id, score, length(text) AS text_length, len(t) AS text_words,
+               length(source) AS summary_length, len(s) AS summary_words
+        FROM words""",
     "classification_metrics": f"""
         WITH {_CELLS}, parts AS (
             SELECT n, a, d, (a + b) / n AS w1, (c + d) / n AS w0,
@@ -295,6 +355,10 @@ ORACLE: dict[str, str] = {
           AND z.src NOT IN ('28', x.src, y.src)""",
     "distances_to_landmark": f"""
         WITH RECURSIVE {_DISTANCES} SELECT id, '28' AS landmark, hop FROM distances""",
+    "distances_two_landmarks": f"""
+        WITH RECURSIVE {_REACH}
+        SELECT id, min(hop) FILTER (mark = '28') AS "first", min(hop) FILTER (mark = '7') AS "second"
+        FROM distances GROUP BY id""",
     "farthest_vertices": f"""
         WITH RECURSIVE {_DISTANCES}
         SELECT id, hop AS distance, c_name AS name, c_mktsegment AS city, c_nationkey AS country

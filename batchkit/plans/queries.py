@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from batchkit import sources
 from batchkit.operators import basket, classify, cohorts, graph, occupancy, rank, ratings, text
+from batchkit.operators.staging import Stage
 from batchkit.plans import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,13 +54,68 @@ def prefix_near_max(spark, sf_dir):
     return text.near_max(words.withColumnRenamed("ngram", "word"), "th", 0.02)
 
 
+@query
+def prefix_words_observed(spark, sf_dir):
+    """Counts and totals of one pass: how often each word occurs, and its share of the chosen words."""
+    totals = Observation("chosen")
+    counts = text.prefix_word_counts(tables.lines(spark, sf_dir), "the", observation=totals)
+    counts = Stage(spark).put(counts, "counts")
+    return counts.withColumns({name: F.lit(n) for name, n in totals.get.items()})
+
+
+@query
+def key_value_round_trip(spark, sf_dir):
+    """The counts of prefix words, the empty word too, written as key and value and read again."""
+    stage = Stage(spark)
+    sources.write_key_value(
+        text.prefix_word_counts(tables.lines(spark, sf_dir), "the"), stage.path("counts")
+    )
+    return sources.read_key_value(spark, stage.path("counts"), "word string, n bigint")
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    """All events as CSV with header and back, with a text that has blanks, quotes and separators."""
+    stage = Stage(spark)
+    events = tables.load(spark, sf_dir, "events")
+    odd = F.when(F.col("event_id") % 5 == 0, "").when(F.col("event_id") % 7 == 0, F.lit(None))
+    events = events.withColumn("odd", odd.otherwise(F.concat(F.lit(' ,"'), "event_type", F.lit(" "))))
+    sources.write_csv(events, stage.path("events"), header=True)
+    return sources.read_table(spark, stage.path("events"), events.schema)
+
+
+@query
+def parse_register(spark, sf_dir):
+    """Readings written as tab-separated lines under a header, with their own form of timestamps."""
+    stage = Stage(spark)
+    stamp = "dd/MM/yyyy HH:mm:ss"
+    readings = tables.readings(spark, sf_dir).withColumn("timestamp", F.date_format("timestamp", stamp))
+    lines = sources.to_csv_line(readings, readings.columns, "\t")
+    header = spark.range(1).select(F.lit("\t".join(readings.columns)).alias("line"))
+    sources.write_lines(lines.union(header), stage.path("register"))
+    body = sources.drop_header(
+        sources.read_lines(spark, stage.path("register")), "\t".join(readings.columns)
+    )
+    schema = "station bigint, timestamp timestamp_ntz, used_slots int, free_slots bigint"
+    return sources.parse_delimited(body, schema, "\t", timestamp_format=stamp)
+
+
 # baskets
 
 
+@query
+def user_product_lists(spark, sf_dir):
+    """Sorted products of each order, as one text."""
+    lists = basket.baskets(tables.load(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    return lists.select("basket", F.array_join(F.col("products").cast("array<string>"), ",").alias("products"))
+
+
 @query
 def basket_pair_count(spark, sf_dir):
     lines = tables.load(spark, sf_dir, "lineitem")
-    return basket.pair_counts(lines, "l_orderkey", "l_partkey").orderBy(F.desc("n"))
+    counted = basket.pair_counts(lines, "l_orderkey", "l_partkey")
+    # most counts are equal, so the pair is part of the order: no range holds most of the rows
+    return counted.orderBy(F.desc("n"), "product_a", "product_b")
 
 
 @query
@@ -106,25 +163,27 @@ def all_match_groups(spark, sf_dir):
 
 @query
 def distinct_per_user_year(spark, sf_dir):
-    views = tables.purchases(spark, sf_dir).select(
-        F.col("o_custkey").alias("SID"),
-        F.col("l_partkey").alias("LID"),
-        F.col("l_shipdate").alias("time"),
+    views = tables.load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_partkey").alias("LID"), F.col("l_shipdate").alias("time")
     )
     lectures = tables.load(spark, sf_dir, "part").filter(F.col("p_brand") == "Brand#2")
-    return cohorts.distinct_views_per_year(
-        views, lectures.select(F.col("p_partkey").alias("LID")), (1997, 1999)
+    owners = tables.load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("SID")
     )
+    return cohorts.distinct_views_per_year(
+        views, lectures.select(F.col("p_partkey").alias("LID")), (1997, 1999),
+        owners=owners, owner_key="l_orderkey",
+    )
 
 
 @query
 def zero_filled_year_counts(spark, sf_dir):
-    return tables.return_counts(spark, sf_dir)
+    return tables.view_counts(spark, sf_dir)
 
 
 @query
 def min_max_year_select(spark, sf_dir):
-    return cohorts.select_extremes(tables.return_counts(spark, sf_dir), "views_1998", "views_1999")
+    return cohorts.select_extremes(tables.view_counts(spark, sf_dir), "views_1998", "views_1999")
 
 
 @query
@@ -215,10 +274,28 @@ def label_rows(spark, sf_dir):
     return rated.select("o_orderkey", "kept", "lines", "label")
 
 
+TEXTS = {"text": 1000, "summary": 500}
+
+
+@query
+def classifier_split(spark, sf_dir):
+    side = classify.in_training(F.col("doc_id"))
+    return tables.labelled_documents(spark, sf_dir).select(
+        "doc_id", F.when(side, "train").otherwise("test").alias("side"), "label"
+    )
+
+
+@query
+def classifier_features(spark, sf_dir):
+    encoded = classify.encode(tables.labelled_documents(spark, sf_dir), TEXTS, ["doc_id"], ("score",))
+    return encoded.select("doc_id", "score", "text_length", "text_words", "summary_length", "summary_words")
+
+
 @query
 def text_classifier(spark, sf_dir):
-    train, test = classify.split(tables.labelled_documents(spark, sf_dir), key="doc_id")
-    _, predictions = classify.fit_predict(train, test, {"text": 1000, "summary": 500}, ("score",))
+    _, predictions = classify.fit_predict(
+        tables.labelled_documents(spark, sf_dir), TEXTS, "doc_id", ("score",)
+    )
     return predictions.select("doc_id", "label", "prediction")
 
 
@@ -269,6 +346,16 @@ def distances_to_landmark(spark, sf_dir):
     return graph.distances_to(tables.event_graph(spark, sf_dir), [tables.LANDMARK])
 
 
+@query
+def distances_two_landmarks(spark, sf_dir):
+    """Hops to each of two landmarks, read from a map per vertex."""
+    found = graph.distances_to(tables.event_graph(spark, sf_dir), [tables.LANDMARK, tables.LANDMARK_2])
+    hops = F.col("distances")
+    return graph.distance_map(found).select(
+        "id", hops[tables.LANDMARK].alias("first"), hops[tables.LANDMARK_2].alias("second")
+    )
+
+
 @query
 def farthest_vertices(spark, sf_dir):
     return graph.farthest(

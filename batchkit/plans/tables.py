@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from batchkit import sources
 from batchkit.operators import cohorts, graph
 
-LANDMARK = "28"
+LANDMARK, LANDMARK_2 = "28", "7"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +16,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document."""
-    texts = sources.spread(load(spark, sf_dir, "documents").select("text"))
-    return sources.explode_lines(texts, "text")
+    return sources.explode_lines(load(spark, sf_dir, "documents"), "text")
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,26 +38,21 @@ def residents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Views of a lecture: returned lines of an order that were sold without discount."""
-    return (
-        load(spark, sf_dir, "lineitem")
-        .filter((F.col("l_returnflag") == "R") & (F.col("l_discount") == 0))
-        .select(
-            F.col("l_orderkey").alias("LID"), cohorts.year_of(F.col("l_shipdate")).alias("year")
-        )
-    )
+def views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views of a lecture: every line of an order."""
+    return load(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("LID"), "l_shipdate")
 
 
-def return_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Courses are customers, their lectures the orders."""
+    seen = views(spark, sf_dir)
     return cohorts.zero_filled_counts(
         load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CID")),
         load(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("LID"), F.col("o_custkey").alias("CID")
         ),
-        returns(spark, sf_dir),
-        {"views_1998": F.col("year") == 1998, "views_1999": F.col("year") == 1999},
+        seen,
+        {f"views_{y}": cohorts.in_years(seen, "l_shipdate", y, y) for y in (1998, 1999)},
     )
 
 
@@ -139,7 +133,7 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = load(spark, sf_dir, "documents").select(
         "doc_id", "text", F.col("source").alias("summary"), F.col("n_chars").alias("score")
     )
-    return labels.join(sources.spread(documents), "doc_id").dropna(subset=["text", "summary"])
+    return labels.join(documents, "doc_id").dropna(subset=["text", "summary"])
 
 
 def event_graph(spark: SparkSession, sf_dir: str) -> graph.Graph:

@@ -8,7 +8,6 @@ from batchkit.sources.readers import (
     read_lines,
     read_table,
     register,
-    spread,
 )
 from batchkit.sources.writers import to_csv_line, write_csv, write_key_value, write_lines
 
@@ -20,7 +19,6 @@ __all__ = [
     "read_lines",
     "read_table",
     "register",
-    "spread",
     "to_csv_line",
     "write_csv",
     "write_key_value",

@@ -2,30 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _files(df: DataFrame, single_file: bool) -> DataFrame:
-    # repartition, not coalesce: only the final write runs in one task, the work before it
-    # keeps its parallelism. The default is one file per partition.
-    return df.repartition(1) if single_file else df
+def _files(df: DataFrame, single_file: bool, order: list[Column] | None) -> DataFrame:
+    """One file per partition, or a single one, whose rows are sorted in its one task.
 
+    Not coalesce: only the final write runs in one task, the work before it keeps its parallelism.
+    """
+    if not single_file:
+        return df.orderBy(*order) if order else df
+    return df.repartition(1).sortWithinPartitions(*order) if order else df.repartition(1)
 
-def write_lines(df: DataFrame, path: str, single_file: bool = False, mode: str = "error") -> None:
-    """Write a one-column string table as text, one line per row."""
-    _files(df, single_file).write.mode(mode).text(path)
+
+def write_lines(
+    df: DataFrame,
+    path: str,
+    single_file: bool = False,
+    mode: str = "error",
+    order: list[Column] | None = None,
+) -> None:
+    """Write a one-column string table as text, one line per row.
+
+    With ``order`` the lines of a single file, or of all files by name, are in that order. Without
+    it a single file has them in any order, whatever ``df`` was sorted by.
+    """
+    _files(df, single_file, order).write.mode(mode).text(path)
 
 
-def write_key_value(df: DataFrame, path: str, single_file: bool = False, mode: str = "error") -> None:
-    """Write the columns separated by tabs, without header or quoting."""
-    _files(df, single_file).write.mode(mode).options(sep="\t", quote="").csv(path)
+def write_key_value(
+    df: DataFrame,
+    path: str,
+    single_file: bool = False,
+    mode: str = "error",
+    order: list[Column] | None = None,
+) -> None:
+    """Write the columns separated by tabs, without header or quoting, nothing changed or trimmed.
+
+    NULL is written as an empty field. A text column but the last must hold no tab and none a line
+    break, as nothing marks them.
+    """
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    lines = _files(df, single_file, order).select(F.concat_ws("\t", *fields).alias("line"))
+    lines.write.mode(mode).text(path)
 
 
 def write_csv(
-    df: DataFrame, path: str, header: bool = False, single_file: bool = False, mode: str = "error"
+    df: DataFrame,
+    path: str,
+    header: bool = False,
+    single_file: bool = False,
+    mode: str = "error",
+    order: list[Column] | None = None,
 ) -> None:
-    """Write CSV, with or without a header line per file."""
-    _files(df, single_file).write.mode(mode).options(header=header, escape='"').csv(path)
+    """Write CSV, with or without a header line per file.
+
+    Blanks around values stay, timestamps keep their microseconds, an empty text is written as
+    ``""`` and NULL as nothing, so that ``read_table`` tells them apart.
+    """
+    options = {
+        "header": header, "escape": '"', "emptyValue": '""', "nullValue": "",
+        "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    }
+    _files(df, single_file, order).write.mode(mode).options(**options).csv(path)
 
 
 def to_csv_line(df: DataFrame, columns: list[str], sep: str = ",") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from batchkit.functions import arrays
 from batchkit.operators import basket
+from batchkit.operators.staging import Stage
 
 
 def random_rows(seed, crowded=False):
@@ -51,18 +52,21 @@ def test_cells_of_any_size_give_the_same_pairs(spark, distinct, block):
     assert counted(basket.pair_counts(df, "u", "p", distinct, block)) == brute(rows, distinct)
 
 
-def test_baskets_beyond_the_large_list_are_counted_too(spark):
-    rows = random_rows(5, crowded=True)
-    df = spark.createDataFrame(rows, "u int, p string")
-    assert counted(basket.pair_counts(df, "u", "p", block=2, max_large=1)) == brute(rows, True)
-
-
-def test_cells_are_bounded(spark):
-    rows = [(1, p) for p in range(2000)] + [(2, p) for p in range(5)]
+def test_every_large_basket_is_cut(spark):
+    rows = [(1, p) for p in range(2000)] + [(2, p) for p in range(5)] + [(3, p) for p in range(250)]
+    stage = Stage(spark)
     items = basket.basket_items(spark.createDataFrame(rows, "u int, p int"), "u", "p")
-    cells = basket._cells(items, 100, 10).groupBy("basket", "_i", "_j").count()
+    cells = basket._cells(stage.put(items, "items"), 100, stage, "t")
+    cells = cells.groupBy("basket", "_i", "_j").count()
     assert cells.agg({"count": "max"}).first()[0] < 400
     assert cells.filter("basket = 2").count() == 1
+    assert cells.filter("basket = 3").count() == 6
+
+
+def test_no_rows_are_ranked_but_the_pairs(spark):
+    df = spark.createDataFrame(random_rows(1, crowded=True), "u int, p string")
+    for counted in (basket.pair_counts(df, "u", "p", block=3), basket.pair_counts(df, "u", "p", False)):
+        assert "TakeOrdered" not in counted._jdf.queryExecution().executedPlan().toString()
 
 
 def test_null_keys_make_no_pairs(spark):

@@ -1,5 +1,7 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
+from pyspark.sql import functions as F
 
 from batchkit.operators import classify
 
@@ -57,25 +59,36 @@ def test_undefined_scores_are_null(spark, rows):
 
 def test_split_by_key_does_not_depend_on_partitions(spark, rows):
     df = spark.range(2000)
-    train, test = classify.split(df, key="id")
-    again, _ = classify.split(df.repartition(7), key="id")
+    train, test = classify.split(df, "id")
+    again, _ = classify.split(df.repartition(7), "id")
     assert rows(train) == rows(again)
     assert train.count() + test.count() == 2000
     assert 1400 < train.count() < 1600
-    first, second = classify.split(df)
+    first, second = classify.split_random(df)
     assert first.count() + second.count() == 2000
 
 
-def test_pipeline_learns_a_word(spark):
+def test_words_are_those_of_the_ml_stages(spark):
+    texts = ["The  Quick fox,\tisn't here ", "", "a an", " leading", "Ünder the sky"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    words = Tokenizer(inputCol="t", outputCol="w").transform(df)
+    kept = StopWordsRemover(inputCol="w", outputCol="k").transform(words)
+    both = kept.select("k", classify.kept_words(F.col("t")).alias("own")).collect()
+    assert all(r.k == r.own for r in both)
+
+
+def test_it_learns_a_word(spark):
     rows = [
         (i, f"the {'good' if i % 2 else 'bad'} thing number{i % 7}", f"note {i % 3}", i % 5, i % 2)
         for i in range(200)
     ]
     df = spark.createDataFrame(rows, "id int, text string, summary string, score int, label int")
-    train, test = classify.split(df, key="id")
-    model, predictions = classify.fit_predict(
-        train, test, {"text": 100, "summary": 50}, ("score",)
-    )
+    model, predictions = classify.fit_predict(df, {"text": 100, "summary": 50}, "id", ("score",))
     # score, two lengths and the hashed words
     assert model.stages[-1].numFeatures == 153
-    assert classify.metrics(predictions).first().accuracy == 1.0
+    assert predictions.count() == classify.split(df, "id")[1].count()
+    scores = classify.metrics(predictions).first()
+    assert scores.accuracy == 1.0
+    pairs = predictions.select(F.col("label").cast("double"), "prediction")
+    for name, own in (("accuracy", scores.accuracy), ("f1", scores.f1)):
+        assert own == pytest.approx(MulticlassClassificationEvaluator(metricName=name).evaluate(pairs))

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from batchkit.operators import cohorts, skew
+from batchkit.operators import cohorts
 
 
 def test_pricing_plans(spark, rows):
@@ -65,16 +65,32 @@ def test_extremes_of_nothing(spark, rows):
     assert rows(cohorts.select_extremes(df, "a", "b")) == []
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 500])
-@pytest.mark.parametrize("heavy_rows", [1, 10**9])
-def test_distinct_views_per_year(lectures, views, rows, monkeypatch, broadcast_rows, heavy_rows):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy_rows)
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp"])
+def test_distinct_views_per_year(lectures, views, rows, kind):
     watched = lectures.filter("CID = 'watched'")
+    if kind != "string":
+        views = views.withColumn("time", F.to_date("time", "yyyy/MM/dd").cast(kind))
     got = cohorts.distinct_views_per_year(views, watched, (2022, 2023))
     assert rows(got) == [("s1", 2023, 2), ("s2", 2022, 1)]
 
 
+def test_the_student_may_be_in_another_table(spark, lectures, views, rows):
+    owners = views.select("SID").distinct().withColumn("card", F.concat(F.lit("c"), "SID"))
+    carded = views.join(owners, "SID").drop("SID")
+    got = cohorts.distinct_views_per_year(
+        carded, lectures, (2022, 2024), owners=owners, owner_key="card"
+    )
+    assert rows(got) == [("s1", 2023, 2), ("s2", 2022, 1), ("s2", 2024, 1)]
+
+
+def test_years_end_at_midnight(spark, rows):
+    df = spark.sql(
+        "SELECT TIMESTAMP'1998-12-31 23:59:59.999999' t UNION ALL SELECT TIMESTAMP'1999-01-01' "
+        "UNION ALL SELECT TIMESTAMP'1997-12-31 23:59:59' UNION ALL SELECT NULL"
+    )
+    assert df.filter(cohorts.in_years(df, "t", 1998, 1998)).count() == 1
+
+
 def test_year_of_any_time(spark):
     got = spark.sql("SELECT '2024/02/07-20:40:10' a, DATE'2021-05-06' b, TIMESTAMP'1999-01-01 10:00:00' c")
     assert tuple(got.select(*[cohorts.year_of(F.col(x)) for x in "abc"]).first()) == (2024, 2021, 1999)

@@ -3,7 +3,7 @@ from collections import Counter, deque
 
 import pytest
 
-from batchkit.operators import graph, skew
+from batchkit.operators import graph
 
 
 def make(spark, vertices, edges):
@@ -69,13 +69,6 @@ def brute_components(vertices, edges):
     return label
 
 
-@pytest.fixture(params=[10**9, 5], ids=["plain", "hubs"])
-def hub_rows(request, monkeypatch):
-    """With the low bound every join takes the path for heavy keys."""
-    monkeypatch.setattr(skew, "HEAVY_ROWS", request.param)
-    return request.param
-
-
 def test_build_keeps_multiplicity_and_drops_null_ends(spark, rows):
     g = graph.build(
         spark.createDataFrame([(1, "x")], "airport int, name string"),
@@ -98,11 +91,10 @@ def test_top_in_degree_breaks_ties_by_id_and_stays_sorted(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_motifs_against_brute_force(spark, hub_rows, seed):
+def test_motifs_against_brute_force(spark, seed):
     vertices, edges = random_graph(seed, crowded=True)
     g = make(spark, vertices, edges)
     routes = graph.merge_routes(g)
-    assert (routes.hubs is not None) == (hub_rows == 5)
     for hops, distinct in [(1, False), (1, True), (2, False), (2, True), (3, True), (4, True)]:
         want = brute_motif(vertices, edges, "v03", hops, distinct)
         count = graph.count_motif(g, "v03", hops, distinct, routes).first().matches
@@ -122,7 +114,7 @@ def test_self_loop_counts_at_one_hop_only(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_distances_against_brute_force(spark, hub_rows, seed):
+def test_distances_against_brute_force(spark, seed):
     vertices, edges = random_graph(seed, crowded=True)
     got = graph.distances_to(make(spark, vertices, edges), ["v03", "v07"]).collect()
     for landmark in ("v03", "v07"):
@@ -150,7 +142,7 @@ def test_distance_map(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_components_against_brute_force(spark, hub_rows, seed):
+def test_components_against_brute_force(spark, seed):
     vertices, edges = random_graph(seed, crowded=seed == 2)
     edges = edges if seed == 2 else edges[::2]
     got = graph.connected_components(make(spark, vertices, edges)).collect()

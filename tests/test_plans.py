@@ -3,17 +3,17 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from batchkit.operators import skew
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry_points.queries()
 # queries that only build a plan; the others run jobs on the way
 LAZY = [
     "word_count", "ngram_count_2", "prefix_word_count", "prefix_word_counters", "prefix_near_max",
-    "basket_pair_count", "basket_pair_count_repeats", "two_level_count", "all_match_groups",
-    "zero_filled_year_counts", "min_max_year_select", "exceeding_organizers",
+    "two_level_count", "all_match_groups",
+    "zero_filled_year_counts", "distinct_per_user_year", "exceeding_organizers",
     "low_participation_meetings", "slot_criticality", "slot_criticality_sql",
     "critical_slots_located", "critical_top5", "most_critical_per_station", "critical_kml",
     "label_rows", "classification_metrics", "confusion_matrix", "per_class_scores",
@@ -36,7 +36,6 @@ def test_no_cross_join_and_no_python(spark, name):
     "name, columns",
     [
         ("all_match_groups", {"l_orderkey", "l_returnflag"}),
-        ("basket_pair_count", {"l_orderkey", "l_partkey"}),
         ("word_count", {"text"}),
         ("slot_criticality", {"user_id", "ts", "event_type", "value"}),
         ("confusion_matrix", {"quality", "toxic"}),
@@ -50,16 +49,29 @@ def test_scans_read_only_what_they_need(spark, name, columns):
         assert {field.split(":")[0] for field in schema.split(",") if field} <= columns
 
 
-def test_filters_reach_the_scan(spark):
-    plan = plan_of(QUERIES["zero_filled_year_counts"](spark, SF_DIR))
-    assert "EqualTo(l_returnflag,R)" in plan and "EqualTo(l_discount,0.0)" in plan
+def test_years_reach_the_scan_and_lectures_come_first(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = plan_of(QUERIES["distinct_per_user_year"](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(l_shipdate,1997-01-01" in plan
+    assert "LessThan(l_shipdate,2000-01-01" in plan
+    semi, orders = plan.index("LeftSemi"), plan.index("Inner")
+    assert orders < semi  # further down is earlier
 
 
-def test_an_absent_heavy_key_costs_no_second_read(spark):
-    facts = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select("l_orderkey", "l_partkey")
-    lookup = spark.read.parquet(f"{SF_DIR}/orders.parquet").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
-    joined = skew.join_lookup(facts, lookup, "l_orderkey")
-    assert joined.count() == facts.count()
-    joined.collect()
-    final = plan_of(joined).split("== Initial Plan ==")[0]
-    assert "Union" not in final
+def test_no_range_of_the_sorted_pairs_holds_most_rows(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        pairs = QUERIES["basket_pair_count"](spark, SF_DIR)
+        sizes = pairs.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1 and max(r[1] for r in sizes) < 0.6 * sum(r[1] for r in sizes)
+
+
+def test_rows_are_ranked_only_for_a_top_k(spark):
+    ranked = {"critical_top1", "critical_top5", "in_degree_top10"}
+    for name in set(LAZY) - ranked:
+        assert "TakeOrdered" not in plan_of(QUERIES[name](spark, SF_DIR)), name

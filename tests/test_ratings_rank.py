@@ -4,7 +4,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from batchkit.operators import rank, ratings, skew
+from batchkit.operators import rank, ratings
 
 
 def test_golden(spark, rows):
@@ -25,11 +25,7 @@ def test_golden(spark, rows):
     assert means["b"] == pytest.approx(0.7071 / 2, abs=1e-4)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 500])
-@pytest.mark.parametrize("heavy_rows", [100, 10**9])
-def test_against_brute_force(spark, monkeypatch, broadcast_rows, heavy_rows):
-    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
-    monkeypatch.setattr(skew, "HEAVY_ROWS", heavy_rows)
+def test_against_brute_force(spark):
     rng = random.Random(3)
     data = [(min(rng.randrange(9), 3), i, float(rng.randrange(1, 6))) for i in range(300)]
     df = spark.createDataFrame(data, "u int, p int, s double")
@@ -44,6 +40,29 @@ def test_against_brute_force(spark, monkeypatch, broadcast_rows, heavy_rows):
         assert sum(z for (u, _), z in got.items() if u == user) == pytest.approx(0, abs=1e-9)
 
 
+def test_a_hot_user_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("u"), F.rand(1).alias("s")
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        scored = ratings.zscore(df, "u", "s")
+        assert scored.agg(F.count(F.lit(1)), F.round(F.sum("zscore"), 6)).collect()[0][0] == 60_000
+        scored.collect()
+        assert "skew=true" in scored._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_empty(spark, rows):
     df = spark.createDataFrame([], "u int, p int, s double")
     assert rows(ratings.zscore(df, "u", "s")) == []

@@ -81,12 +81,6 @@ def test_csv_line_and_register(spark, rows):
     assert spark.sql("SELECT max(n) FROM plans_seen").first()[0] == 2
 
 
-def test_spread_leaves_large_inputs_alone(spark):
-    wide = spark.range(0, 1000, 1, 64)
-    assert sources.spread(wide) is wide
-    assert sources.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4
-
-
 def test_stage_writes_to_the_folder_of_the_session(spark):
     stage = Stage(spark)
     assert stage.root.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
@@ -94,20 +88,80 @@ def test_stage_writes_to_the_folder_of_the_session(spark):
     assert stage.put(spark.range(3).filter(F.col("id") > 5), "numbers").isEmpty()
 
 
-def fake_session(master):
-    folders = []
+def fake_session(master, folder=None, default="file:///"):
+    settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://w/"}
+    files = SimpleNamespace(getDefaultUri=lambda conf: SimpleNamespace(getScheme=lambda: default.split(":")[0]))
     context = SimpleNamespace(
         master=master,
-        getCheckpointDir=lambda: folders[-1] if folders else None,
-        setCheckpointDir=folders.append,
+        getCheckpointDir=lambda: None,
+        _jsc=SimpleNamespace(hadoopConfiguration=lambda: None),
+        _jvm=SimpleNamespace(
+            org=SimpleNamespace(apache=SimpleNamespace(hadoop=SimpleNamespace(fs=SimpleNamespace(FileSystem=files))))
+        ),
     )
-    return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context
+    conf = SimpleNamespace(get=lambda key, default=None: settings[key])
+    return SimpleNamespace(conf=conf, sparkContext=context)
+
+
+def test_stages_are_in_a_folder_that_all_share():
+    for master in ("local[2]", "yarn"):
+        assert checkpoint_root(fake_session(master)) == "hdfs://w/_stages"
+        assert checkpoint_root(fake_session(master, "s3a://b/c")) == "s3a://b/c"
+    assert checkpoint_root(fake_session("local[2]", "/tmp/c")) == "/tmp/c"
+    assert checkpoint_root(fake_session("yarn", "/tmp/c", "hdfs://n")) == "/tmp/c"
+    for master in ("yarn", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="share"):
+            checkpoint_root(fake_session(master, "/tmp/c"))
+
+
+def test_stages_can_be_removed(spark, tmp_path):
+    stage = Stage(spark)
+    stage.put(spark.range(3), "a")
+    stage.put(spark.range(3), "b")
+    stage.remove("a")
+    assert spark.read.parquet(stage.path("b")).count() == 3
+    stage.remove()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(stage.path("b"))
+
+
+ODD = ["", " lead", "trail ", " ", 'say "hi"', '"', "a,b", "\\", "'", "é", "NULL"]
+
+
+def test_key_value_changes_nothing(spark, tmp_path, rows):
+    df = spark.createDataFrame([(t, f"{t}\t{t}") for t in ODD], "key string, value string")
+    sources.write_key_value(df, str(tmp_path / "kv"))
+    assert rows(sources.read_key_value(spark, str(tmp_path / "kv"), df.schema)) == rows(df)
+    bare = spark.createDataFrame([("no tab",), ("\t",), ("x\tnot a number",)], "line string")
+    sources.write_lines(bare, str(tmp_path / "bare"))
+    got = rows(sources.read_key_value(spark, str(tmp_path / "bare"), "key string, n int"))
+    assert got == [("", None), ("no tab", None), ("x", None)]
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_csv_changes_nothing(spark, tmp_path, rows, header):
+    df = spark.createDataFrame([(t, i) for i, t in enumerate([*ODD, "a\tb", None])], "name string, n int")
+    df = df.withColumn("t", F.lit("2020-01-02 03:04:05.678901").cast("timestamp"))
+    sources.write_csv(df, str(tmp_path / "csv"), header=header)
+    back = sources.read_table(spark, str(tmp_path / "csv"), df.schema, header=header)
+    assert rows(back) == rows(df)
+
+
+def test_a_single_file_is_sorted_when_asked(spark, tmp_path):
+    df = spark.range(500).selectExpr("id", "CAST(id AS STRING) AS line").repartition(7)
+    sources.write_lines(
+        df.select("line"), str(tmp_path / "one"), single_file=True, order=[F.col("line").cast("int")]
     )
+    (part,) = (tmp_path / "one").glob("part-*")
+    assert part.read_text().split() == [str(i) for i in range(500)]
+
+
+def test_header_with_a_tab_at_its_end(spark, rows):
+    lines = spark.createDataFrame([("id\tv\t",), ("1\t2",)], "line string")
+    assert rows(sources.drop_header(lines, "id\tv")) == [("1\t2",)]
 
 
-def test_only_a_local_session_gets_a_temporary_folder():
-    local = fake_session("local[2]")
-    assert checkpoint_root(local) == checkpoint_root(local)
-    with pytest.raises(ValueError):
-        checkpoint_root(fake_session("yarn"))
+def test_timestamps_by_a_pattern(spark):
+    lines = spark.createDataFrame([("15/05/2008 12:01:00",), ("2008-05-15",)], "line string")
+    got = sources.parse_delimited(lines, "t timestamp", timestamp_format="dd/MM/yyyy HH:mm:ss")
+    assert [r.t and (r.t.day, r.t.hour) for r in got.collect()] == [(15, 12), None]
