@@ -3,29 +3,43 @@
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from batchkit.llm.bpe import byte_alphabet
 from batchkit.llm.common import slices
 from batchkit.operators.staging import Stage
 
-# Words whose ids a worker keeps; what does not fit is encoded again.
-REMEMBERED = 400_000
+# Words, and parts of words, whose ids a worker keeps; what does not fit is encoded again.
+REMEMBERED = 300_000
+LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]*)")
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 class WordTokenizer:
     """Ids of a tokenizers file, encoded word by word and remembered.
 
     Only for tokenizers that never look across a space: their normaliser keeps spaces apart from
-    other characters and their pre-tokenizer drops white space. ``load`` checks the file for it.
+    other characters and their pre-tokenizer drops white space. The file is probed for that, and for
+    whether a word of Latin letters may go straight to its model, lower-cased and in the byte alphabet,
+    apart from the marks behind it; all other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -35,27 +49,49 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.letters = {b: ord(c) for c, b in byte_alphabet().items()}
         self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
         if not all(
-            self._ids(f"{a} {b}\n{a}") == self._ids(a) + self._ids(b) + self._ids(a)
+            self._whole(f"{a} {b}\n{a}") == self._whole(a) + self._whole(b) + self._whole(a)
             for a, b in (("x", "y"), ("It's", "3rd."), ("é,", "́e"), ("ΑΣ", "-"))
         ):
             raise ValueError(f"the tokenizer of {path} looks across white space")
-
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set(chain.from_iterable(words)) - self.known.keys())
-        ids = self.tokenizer.encode_batch(new, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, ids, strict=True))
-        found = [b"".join(map(self.known.__getitem__, w)) for w in words]
-        if len(self.known) > REMEMBERED:  # the words met first are the frequent ones; they stay
-            for w in new:
-                del self.known[w]
-        return found
+        probes = ("The", "house,", "Éa...", "straße!?", "ÜBER;", "aé:", "ÿÀx", "the.,;:!?")
+        self.direct = all(self._latin(LATIN.fullmatch(p)) == self._whole(p) for p in probes)
+
+    def _whole(self, text: str) -> bytes:
+        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _latin(self, word: re.Match) -> bytes:
+        return self._part(word[1].lower()) + self._part(word[2])
+
+    def _part(self, text: str) -> bytes:
+        ids = self.parts.get(text)
+        if ids is None:
+            spelled = text.encode().decode("latin-1").translate(self.letters)
+            ids = pack_ids([t.id for t in self.model.tokenize(spelled)])
+            if len(self.parts) < REMEMBERED and len(text) < 50:
+                self.parts[text] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        latin = self.direct and LATIN.fullmatch(word)
+        ids = self._latin(latin) if latin else self._whole(word)
+        if len(self.known) < REMEMBERED and len(word) < 50:
+            self.known[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        words = text.replace("\n", " ").split(" ")
+        found = list(map(self.known.get, words))
+        at = -1
+        for _ in range(found.count(None)):  # the words met first are the frequent ones
+            at = found.index(None, at + 1)
+            found[at] = self._word(words[at])
+        return b"".join(found)
 
 
 @lru_cache(maxsize=2)
@@ -89,7 +125,7 @@ def pieces(
         tokenizer = load(path)
         for batch in slices(batches, "text"):
             at, number, start, length, check, ids = [], [], [], [], [], []
-            for row, data in enumerate(tokenizer.encode(batch["text"].to_pylist())):
+            for row, data in enumerate(map(tokenizer.encode, batch["text"].to_pylist())):
                 data += end
                 for k, first in enumerate(range(0, len(data), 4 * size)):
                     part = data[first : first + 4 * size]
