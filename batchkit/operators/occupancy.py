@@ -43,15 +43,14 @@ def slot_criticality_sql(
         """
         WITH slots AS (
             SELECT station, dayname(timestamp) AS weekday, hour(timestamp) AS hour,
-                   count_if(free_slots = 0) AS critical_count, count(*) AS total_count
+                   count_if(free_slots = 0) / count(*) AS criticality
             FROM {register}
             WHERE NOT (used_slots = 0 AND free_slots = 0)
             GROUP BY ALL
         )
-        SELECT t.station AS station_id, t.weekday, t.hour,
-               t.critical_count / t.total_count AS criticality, s.longitude, s.latitude
+        SELECT t.station AS station_id, t.weekday, t.hour, t.criticality, s.longitude, s.latitude
         FROM slots t, {stations} s
-        WHERE s.id = t.station AND t.critical_count / t.total_count > :threshold
+        WHERE s.id = t.station AND t.criticality > :threshold
         ORDER BY criticality DESC, station_id, weekday, hour
         """,
         args={"threshold": float(threshold)},
