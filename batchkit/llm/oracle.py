@@ -1,6 +1,26 @@
 """SQL that another engine runs on the same tables, for the queries that SQL can express."""
 
 ORACLE = {
+    "op1_embedding_near_dedup": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+        ), links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y
+            FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+        ), reach AS (
+            SELECT vec_id AS id, vec_id AS other FROM embeddings
+            UNION
+            SELECT id, y FROM reach JOIN links ON x = other
+        ), components AS (
+            SELECT id, min(other) AS component_id FROM reach GROUP BY id
+        ), counts AS (
+            SELECT x, count(*) AS n FROM links GROUP BY x
+        )
+        SELECT id AS vec_id, coalesce(n, 0) AS n_links, component_id, id = component_id AS kept
+        FROM components LEFT JOIN counts ON x = id
+    """,
     "op2_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
