@@ -28,18 +28,30 @@ RUNS = re.compile(r"([A-Z])\1+|([a-z])\2+|(.)\3+")
 
 def shape(word: str) -> str:
     """The kinds of characters in a word, runs of one kind as one: ``A`` capital, ``a`` small, ``0``."""
+    body, end = word[:-1], word[-1:]
+    if body.isalpha() and body.islower() and not end.isalnum():
+        return f"a{end}"
     kinds = "".join(
         "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:200]
     )
     return RUNS.sub(lambda m: m.group()[0] + ("+" if len(m.group()) > 1 and m.group(3) else ""), kinds)
 
 
+def shape_row(kinds: str) -> int:
+    return WORDS + zlib.crc32(kinds.encode("utf-8", "surrogatepass")) % SHAPES
+
+
+LOWER = shape_row("a")
+
+
 def code(word: str) -> int:
     """Table rows of a word and of its shape, packed into one number."""
-    plain = EDGE.sub("", word).lower() or word
-    row = zlib.crc32(plain.encode("utf-8", "surrogatepass")) % WORDS
-    kind = WORDS + zlib.crc32(shape(word).encode("utf-8", "surrogatepass")) % SHAPES
-    return row << 16 | kind
+    if word.isalpha() and word.islower():
+        plain, kind = word, LOWER
+    else:
+        plain = EDGE.sub("", word).lower() or word
+        kind = shape_row(shape(word))
+    return zlib.crc32(plain.encode("utf-8", "surrogatepass")) % WORDS << 16 | kind
 
 
 @lru_cache(maxsize=1)

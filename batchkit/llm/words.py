@@ -10,7 +10,7 @@ import numpy as np
 class Codes(dict):
     """Code of a word, computed once for the words met first; later ones are computed each time."""
 
-    def __init__(self, code: Callable[[str], int], limit: int = 400_000):
+    def __init__(self, code: Callable[[str], int], limit: int = 250_000):
         self.code, self.limit = code, limit
 
     def __missing__(self, word: str) -> int:
