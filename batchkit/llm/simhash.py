@@ -165,5 +165,6 @@ def find_near(
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents whose id is the smallest of their group, with all their columns."""
     found = find_near(docs, id_col, text_col, **options)
-    losers = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_lost"))
-    return docs.join(losers.distinct(), docs[id_col] == F.col("_lost"), "left_anti")
+    losers = found.filter(F.col(id_col) != F.col("component_id"))
+    losers = losers.select(F.col(id_col).alias("_lost")).distinct()
+    return docs.join(losers, docs[id_col] == losers["_lost"], "left_anti")
