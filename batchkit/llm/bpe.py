@@ -23,8 +23,9 @@ PATTERN = (
 )
 # A single space before a character that is no white space always starts a new match of PATTERN.
 BOUNDARY = re.compile(r" (?=\S)")
+PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]*)")
 # Entries that a worker keeps of each kind; what does not fit is computed again.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -107,7 +108,7 @@ class Bpe:
         self.pattern = regex.compile(PATTERN)
         names = sorted(map(re.escape, self.added), key=len, reverse=True)
         self.special = re.compile(f"({'|'.join(names)})") if names else None
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
         self.chunks: dict[str, bytes] = {}
 
     @staticmethod
@@ -136,23 +137,25 @@ class Bpe:
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the bytes of ``a`` and ``b`` in a row are encoded as just these two tokens."""
-        key = a << 32 | b
-        known = self.memo.get(key)
-        if known is None:
-            known = not self._crosses(a, b, math.inf)
-            if len(self.memo) < 2 * REMEMBERED:
-                self.memo[key] = known
-        return known
+        fits = not self._crosses(a, b, math.inf)
+        if len(self.memo) < 2 * REMEMBERED:
+            self.memo[a << 32 | b] = fits
+        return fits
 
     def piece(self, data: bytes) -> list[int]:
         """The ids of one piece of text that the pattern does not split."""
-        last = [-1] * (len(data) + 1)
+        last, memo = [-1] * (len(data) + 1), self.memo
         for end, (token, length) in self.automaton.iter(data.decode("latin-1")):
             end += 1
             if last[end] < 0:
                 start = end - length
-                if not start or self.compatible(last[start], token):
-                    last[end] = token
+                if start:
+                    fits = memo.get(last[start] << 32 | token)
+                    if fits is None:
+                        fits = self.compatible(last[start], token)
+                    if not fits:
+                        continue
+                last[end] = token
         ids, end = [], len(data)
         while end:
             ids.append(last[end])
@@ -161,7 +164,8 @@ class Bpe:
 
     def _chunk(self, text: str) -> bytes:
         out = []
-        for piece in self.pattern.findall(text):
+        plain = PLAIN.fullmatch(text)  # Latin letters and marks behind them need no other pattern
+        for piece in plain.groups() if plain else self.pattern.findall(text):
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = np.array(self.piece(piece.encode("utf-8")), "<i4").tobytes()
@@ -181,22 +185,33 @@ class Bpe:
         return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
-        first, *others = BOUNDARY.split(text)
-        known = self.chunks
-        found = list(map(known.get, others))  # known without the space in front
-        if None in found:
-            for k, ids in enumerate(found):
-                if ids is None:
-                    chunk = others[k]
-                    found[k] = ids = known.get(chunk) or self._chunk(" " + chunk)
-                    if len(known) < REMEMBERED and len(chunk) < 50:
-                        known[chunk] = ids
+        first, *chunks = text.split(" ")
+        found = list(map(self.chunks.get, chunks))  # known without the space in front
+        at = -1
+        for _ in range(found.count(None)):
+            at = found.index(None, at + 1)
+            if not chunks[at] or chunks[at][0].isspace():  # several blanks in a row
+                return self._spaced(text)
+            found[at] = self._new_chunk(chunks[at])
         return self._chunk(first) + b"".join(found)
 
+    def _spaced(self, text: str) -> bytes:
+        first, *chunks = BOUNDARY.split(text)
+        return self._chunk(first) + b"".join(self.chunks.get(c) or self._new_chunk(c) for c in chunks)
+
+    def _new_chunk(self, chunk: str) -> bytes:
+        ids = self._chunk(" " + chunk)
+        if len(self.chunks) < REMEMBERED // 2 and len(chunk) < 50:
+            self.chunks[chunk] = ids
+        return ids
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids; unknown ids give nothing, broken UTF-8 the replacement character."""
-        empty = b""
-        return b"".join([self.content.get(i, empty) for i in ids]).decode("utf-8", "replace")
+        try:
+            data = b"".join(map(self.content.__getitem__, ids))
+        except KeyError:
+            data = b"".join(self.content.get(i, b"") for i in ids)
+        return data.decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
