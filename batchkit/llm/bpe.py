@@ -220,6 +220,31 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """``id`` and ``ids`` of batches with ``id`` and ``text``."""
+    bpe = load(path)
+    for batch in slices(batches, "text"):
+        found = [bpe.encode(t) for t in batch["text"].to_pylist()]
+        offsets = np.cumsum([0, *map(len, found)]) // 4
+        flat = np.frombuffer(b"".join(found), "<i4")
+        lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([batch["id"], lists], ["id", "ids"])
+
+
+def decode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """``id``, ``ids`` and the ``text`` they stand for, of batches with ``id`` and ``ids``."""
+    bpe = load(path)
+    for batch in batches:
+        texts = [bpe.decode(ids.values.to_numpy(zero_copy_only=False).tolist()) for ids in batch["ids"]]
+        yield pa.RecordBatch.from_arrays(
+            [batch["id"], batch["ids"], pa.array(texts, pa.string())], ["id", "ids", "text"]
+        )
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+
+
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and ``ids`` (array of int) of every whole text, as the vocabulary at ``path`` encodes it.
 
@@ -227,19 +252,10 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     executor. Null texts count as empty and have no ids; rows with null or repeated ids are encoded
     like others. An empty table gives no rows; other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in slices(batches, "text"):
-            found = [bpe.encode(t) for t in batch["text"].to_pylist()]
-            offsets = np.cumsum([0, *map(len, found)]) // 4
-            flat = np.frombuffer(b"".join(found), "<i4")
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch["id"], lists], ["id", "ids"])
-
+    rows = _texts(docs, id_col, text_col)
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    encoded = rows.mapInArrow(lambda batches: encode_batches(batches, path), f"id {kind}, ids array<int>")
+    return encoded.withColumnRenamed("id", id_col)
 
 
 def decode(
@@ -247,14 +263,19 @@ def decode(
 ) -> DataFrame:
     """Id, ``ids`` and the ``text`` they stand for. Null arrays count as empty; null ids are skipped."""
     rows = tokens.select(F.col(id_col).alias("id"), F.coalesce(ids_col, F.array()).alias("ids"))
+    kind = rows.schema["id"].dataType.simpleString()
+    decoded = rows.mapInArrow(
+        lambda batches: decode_batches(batches, path), f"id {kind}, ids array<int>, text string"
+    )
+    return decoded.withColumnRenamed("id", id_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in batches:
-            texts = [bpe.decode(ids.values.to_numpy(zero_copy_only=False).tolist()) for ids in batch["ids"]]
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["ids"], pa.array(texts, pa.string())], ["id", "ids", "text"]
-            )
 
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``decode`` makes of what ``encode`` gives, in one worker instead of one for each step."""
+    rows = _texts(docs, id_col, text_col)
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, ids array<int>, text string").withColumnRenamed("id", id_col)
+    both = rows.mapInArrow(
+        lambda batches: decode_batches(encode_batches(batches, path), path),
+        f"id {kind}, ids array<int>, text string",
+    )
+    return both.withColumnRenamed("id", id_col)

@@ -30,8 +30,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    tokens = bpe.encode(load(spark, sf_dir, "documents"), path)
-    return bpe.decode(tokens, path).select(
+    return bpe.round_trip(load(spark, sf_dir, "documents"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
