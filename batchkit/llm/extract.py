@@ -31,7 +31,7 @@ ENDS_AT = {
     "option": {"option", "optgroup"},
 }
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-# What never belongs to the main text, by element and by a word of its class, id or role.
+# What never belongs to the main text, by element, and what may not, by a word of its class, id or role.
 APART = frozenset(
     "nav header footer aside form menu search dialog button select svg canvas object template head "
     "fieldset audio video math".split()
@@ -58,6 +58,8 @@ class Node:
     tag: str
     path: str
     apart: bool
+    marked: bool = False  # a word of its class, id or role says that it stands apart
+    nested: bool = False  # in an element of the same name
     size: int = 0  # characters of text in it and below, links and what stands apart left out
     blocks: list[int] = field(default_factory=list)
 
@@ -74,11 +76,15 @@ def parse(source: str) -> Page:
     """Read a page in one pass, forgiving what is not closed, like a browser.
 
     The path of a container is the tags from the root to it, each with the sorted words of its class,
-    numbers in them generalised to ``#``.
+    numbers in them generalised to ``#``. What stands apart by its element has no blocks; what does so
+    by a word has none either, unless it surrounds the main text (``apart_blocks``).
     """
     stack = [Node("", "", False)]
     blocks: list[str] = []
+    sizes: list[int] = []
     containers: list[Node] = []
+    marked: list[Node] = []
+    story: list[Node] = []
     text: list[str] = []
     state = {"link": 0, "raw": ""}
 
@@ -90,6 +96,7 @@ def parse(source: str) -> Page:
             return
         at = len(blocks)
         blocks.append(joined)
+        sizes.append(plain)
         for node in stack:
             node.size += plain
             node.blocks.append(at)
@@ -100,6 +107,10 @@ def parse(source: str) -> Page:
         for node in stack[depth:]:
             if node.tag in CONTAINERS and not node.apart and node.blocks:
                 containers.append(node)
+            if node.marked and not node.apart and node.blocks:
+                marked.append(node)
+            if node.tag in ("main", "article", "h1") and node.size:
+                story.append(node)
             if node.tag == "a":
                 state["link"] -= 1
         del stack[depth:]
@@ -160,10 +171,11 @@ def parse(source: str) -> Page:
             or name in RAW
             or "hidden" in attributes
             or attributes.get("aria-hidden", "").lower() == "true"
-            or (name not in ("html", "body", "article", "main") and not APART_WORDS.isdisjoint(WORD.findall(said)))
         )
+        says = not APART_WORDS.isdisjoint(WORD.findall(said))
         step = ".".join([name, *sorted({DIGITS.sub("#", c) for c in classes})])
-        stack.append(Node(name, f"{stack[-1].path}/{step}", apart))
+        nested = name == "article" and any(n.tag == name for n in stack)
+        stack.append(Node(name, f"{stack[-1].path}/{step}", apart, says, nested))
         if name == "a":
             state["link"] += 1
         if name in RAW:
@@ -172,7 +184,45 @@ def parse(source: str) -> Page:
     flush()
     if blocks:
         containers.append(stack[0])
-    return Page(blocks, containers)
+    lost = apart_blocks(marked, story, sizes)
+    if not lost:
+        return Page(blocks, containers)
+    left = [b for b in range(len(blocks)) if b not in lost]
+    place = {b: k for k, b in enumerate(left)}
+    for node in containers:
+        node.size -= sum(sizes[b] for b in node.blocks if b in lost)
+        node.blocks = [place[b] for b in node.blocks if b not in lost]
+    return Page([blocks[b] for b in left], [n for n in containers if n.blocks])
+
+
+def apart_blocks(marked: list[Node], story: list[Node], sizes: list[int]) -> set[int]:
+    """Blocks of the ``marked`` nodes, without those nodes that only surround the main text.
+
+    Themes put words like ``sidebar`` into the classes of wrappers around everything. A marked node
+    is a wrapper if it is or holds a ``main``, the page's only ``h1`` or its only unmarked outermost
+    ``article``, or if it has more text than all that is in no marked node; the fullest is judged
+    first, and its own text counts for the next. Text beside the page's only article (comments,
+    say) is not made a wrapper by its length.
+    """
+    heads = [n for n in story if n.tag == "h1"]
+    articles = [n for n in story if n.tag == "article" and not n.marked and not n.nested]
+    articles = articles if len(articles) == 1 else []
+    sure = [n for n in story if n.tag == "main"] + (heads if len(heads) == 1 else []) + articles
+    inside = lambda a, b: b.blocks[0] <= a.blocks[0] and a.blocks[-1] <= b.blocks[-1]
+    words = [n for n in marked if n.tag not in ("html", "body", "article", "main")]
+    doubtful = [n for n in words if not any(inside(s, n) for s in sure)]
+    doubtful.sort(key=lambda n: (-n.size, -len(n.blocks)))
+    depth = [0] * len(sizes)  # of doubtful nodes around each block
+    for node in doubtful:
+        for b in node.blocks:
+            depth[b] += 1
+    free = sum(n for n, d in zip(sizes, depth, strict=True) if not d)
+    for node in doubtful:
+        if node.size > free and all(inside(node, a) for a in articles):
+            for b in node.blocks:
+                depth[b] -= 1
+                free += 0 if depth[b] else sizes[b]
+    return {b for b, d in enumerate(depth) if d}
 
 
 def candidates(page: Page) -> dict[str, float]:
@@ -222,7 +272,8 @@ def extract(
     otherwise.
 
     Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, markup and comments
-    of readers are left out, by element, class, id or role. Character references are decoded, white
+    of readers are left out, by element, class, id or role; a word of a class, id or role does not
+    count where it names a wrapper of the main text (see ``apart_blocks``). Character references are decoded, white
     space within a block (and a line break) is one space, blocks are trimmed and joined by a line
     feed in page order. A page whose containers lack the host's path uses its own best one.
 

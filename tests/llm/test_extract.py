@@ -69,6 +69,29 @@ def test_what_stands_apart():
     assert own("<div class=headline><p>a</p></div><div class='uploads'><p>b</p></div>") == "a\nb"
 
 
+LONG = "word " * 60
+SCRAPS = "<div class=top>Our daily paper</div><div class=sidebar>about us</div><div id=comments><p>reader says</p></div>"
+
+
+@pytest.mark.parametrize("wrapper", ["content-sidebar-wrap", "post has-sidebar", "post category-social", "page comments-open"])
+@pytest.mark.parametrize("story", ["<article><h1>T</h1><p>{}</p></article>", "<h1>T</h1><p>{}</p>", "<p>T</p><p>{}</p>"])
+def test_a_word_does_not_drop_a_wrapper_of_the_main_text(wrapper, story):
+    inner = f"{story.format(LONG)}<div class='sidebar widget'>{'side ' * 20}</div>"
+    text = own(body(f"{SCRAPS}<div class='{wrapper}'>{inner}</div>{SCRAPS}"))
+    assert "T\n" + LONG.strip() in text
+    assert "side" not in text and "reader" not in text and "about" not in text
+    # two wrappers, and a text shorter than what stands apart
+    text = own(body(f"<div class={wrapper.split()[-1]}><div class='{wrapper}'>{story.format('short text here')}</div>"
+                    f"<div class=sidebar>{'side ' * 2}</div></div>"))
+    assert text == "T\nshort text here"
+
+
+def test_comments_longer_than_the_article_stand_apart():
+    said = "".join(f"<article class=comment-body><p>reader {LONG}</p></article>" for _ in range(9))
+    source = body(f"<main><article><h1>T</h1><p>{LONG}</p></article><div id=comments>{said}</div></main>")
+    assert own(source) == "T\n" + LONG.strip()
+
+
 def test_titles_and_sections_stay_together():
     parts = "".join(f"<section><p>{'word ' * 80}{k}</p></section>" for k in range(5))
     text = own(body(f"<div class=ad>x</div><article><h1>T</h1><div class=text>{parts}</div></article>"))
