@@ -60,16 +60,18 @@ class Node:
     apart: bool
     marked: bool = False  # a word of its class, id or role says that it stands apart
     nested: bool = False  # in an element of the same name
+    depth: int = 0
     size: int = 0  # characters of text in it and below, links and what stands apart left out
     blocks: list[int] = field(default_factory=list)
 
 
 @dataclass
 class Page:
-    """``blocks`` of text in page order and the containers with the blocks they hold."""
+    """``blocks`` of text in page order, the containers with the blocks they hold, and which are titles."""
 
     blocks: list[str]
     containers: list[Node]
+    titles: set[int] = field(default_factory=set)  # blocks in an h1
 
 
 def parse(source: str) -> Page:
@@ -82,6 +84,7 @@ def parse(source: str) -> Page:
     stack = [Node("", "", False)]
     blocks: list[str] = []
     sizes: list[int] = []
+    titles: set[int] = set()
     containers: list[Node] = []
     marked: list[Node] = []
     story: list[Node] = []
@@ -97,6 +100,8 @@ def parse(source: str) -> Page:
         at = len(blocks)
         blocks.append(joined)
         sizes.append(plain)
+        if any(n.tag == "h1" for n in stack):
+            titles.add(at)
         for node in stack:
             node.size += plain
             node.blocks.append(at)
@@ -175,7 +180,7 @@ def parse(source: str) -> Page:
         says = not APART_WORDS.isdisjoint(WORD.findall(said))
         step = ".".join([name, *sorted({DIGITS.sub("#", c) for c in classes})])
         nested = name == "article" and any(n.tag == name for n in stack)
-        stack.append(Node(name, f"{stack[-1].path}/{step}", apart, says, nested))
+        stack.append(Node(name, f"{stack[-1].path}/{step}", apart, says, nested, len(stack)))
         if name == "a":
             state["link"] += 1
         if name in RAW:
@@ -186,13 +191,14 @@ def parse(source: str) -> Page:
         containers.append(stack[0])
     lost = apart_blocks(marked, story, sizes)
     if not lost:
-        return Page(blocks, containers)
+        return Page(blocks, containers, titles)
     left = [b for b in range(len(blocks)) if b not in lost]
     place = {b: k for k, b in enumerate(left)}
     for node in containers:
         node.size -= sum(sizes[b] for b in node.blocks if b in lost)
         node.blocks = [place[b] for b in node.blocks if b not in lost]
-    return Page([blocks[b] for b in left], [n for n in containers if n.blocks])
+    titles = {place[b] for b in titles if b not in lost}
+    return Page([blocks[b] for b in left], [n for n in containers if n.blocks], titles)
 
 
 def apart_blocks(marked: list[Node], story: list[Node], sizes: list[int]) -> set[int]:
@@ -225,26 +231,46 @@ def apart_blocks(marked: list[Node], story: list[Node], sizes: list[int]) -> set
     return {b for b, d in enumerate(depth) if d}
 
 
-def candidates(page: Page) -> dict[str, float]:
-    """Scores of the paths of a page's containers: the text without links of the fullest one.
+def candidates(page: Page) -> dict[str, tuple[float, bool, int]]:
+    """Ranks of the paths of a page's containers, by the fullest one: its score, then two tie-breaks.
 
-    An ``article`` or ``main`` counts a fifth more. Each level adds half a percent, so the innermost
-    of containers that hold the same text wins, but not one that leaves the title out.
+    The score is the text without links. An ``article`` or ``main`` counts a fifth more, and so does
+    a container that adds nothing but the title to the fullest one of these. Of containers with the
+    same score one that holds an ``h1`` is before others, then the innermost. So no text and no title
+    is left out for the sake of depth.
     """
-    found: dict[str, float] = {}
+    stories = [n for n in page.containers if n.tag in ("article", "main")]
+    story = max(stories, key=lambda n: n.size, default=None)
+    if story and page.titles.intersection(story.blocks):
+        story = None
+
+    def weight(node: Node) -> float:
+        if node.tag in ("article", "main"):
+            return 1.2
+        if not story or not node.blocks[0] <= story.blocks[0] <= story.blocks[-1] <= node.blocks[-1]:
+            return 1.0
+        more = (*range(node.blocks[0], story.blocks[0]), *range(story.blocks[-1] + 1, node.blocks[-1] + 1))
+        return 1.2 if page.titles.issuperset(more) else 1.0
+
+    found: dict[str, tuple[float, bool, int]] = {}
     for node in page.containers:
-        kind = 1.2 if node.tag in ("article", "main") else 1.0
-        score = kind * node.size * (1 + 0.005 * min(node.path.count("/"), 20))
-        found[node.path] = max(found.get(node.path, 0.0), score)
+        rank = (weight(node) * node.size, not page.titles.isdisjoint(node.blocks), node.depth)
+        found[node.path] = max(found.get(node.path, rank), rank)
     return found
 
 
+def best_path(page: Page) -> tuple[str | None, float]:
+    """The path of highest rank, the first by name among equals, and its score."""
+    found = candidates(page)
+    top = max(found.values(), default=(0.0, False, 0))
+    return min((p for p, rank in found.items() if rank == top), default=None), top[0]
+
+
 def main_text(page: Page, path: str | None) -> str:
     """Blocks in the containers with the host's path; without any, in the page's own best one."""
     chosen = [n for n in page.containers if n.path == path]
     if not chosen and page.containers:
-        scores = candidates(page)
-        best = min(scores, key=lambda p: (-scores[p], p))
+        best, _ = best_path(page)
         chosen = [n for n in page.containers if n.path == best]
     at = sorted({b for n in chosen for b in n.blocks})
     return "\n".join(page.blocks[b] for b in at) if chosen else "\n".join(page.blocks)
@@ -292,10 +318,9 @@ def extract(
         for batch in batches:
             paths, scores = [], []
             for source in batch["html"]:
-                found = candidates(parse(source.as_py()))
-                best = min(found, key=lambda p: (-found[p], p), default=None)
-                paths.append(best)
-                scores.append(round(found.get(best, 0.0)))
+                path, score = best_path(parse(source.as_py()))
+                paths.append(path)
+                scores.append(round(score))
             yield pa.RecordBatch.from_arrays(
                 [batch["host"], pa.array(paths, pa.string()), pa.array(scores, pa.int64())],
                 ["host", "path", "score"],

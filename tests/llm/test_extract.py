@@ -98,6 +98,27 @@ def test_titles_and_sections_stay_together():
     assert text.startswith("T\nword") and text.count("\n") == 5
 
 
+@pytest.mark.parametrize(
+    "source",
+    [
+        "<div class=content><h1>The title</h1><div class=text>{}</div></div>",
+        "<div class=content><div class='w-1/2/3/4/5/6/7/8'>{}</div><p>The title</p></div>",
+        "<main><h1>The title</h1><article>{}</article></main>",
+        "<div class=page><h1>The title</h1><article>{}</article></div><div>scraps</div>",
+        "<div class=content><h1><a href=x>The title</a></h1><div class=text>{}</div></div><p><a href=y>more</a></p>",
+    ],
+)
+def test_long_pages_keep_what_stands_beside_the_inner_container(source):
+    paragraphs = f"<p>{LONG}</p>" * 40
+    lines = own(body(source.format(paragraphs))).split("\n")
+    assert sorted(lines) == sorted(["The title", *[LONG.strip()] * 40])
+
+
+def test_the_innermost_of_equal_containers_has_the_path():
+    path, _ = extract.best_path(extract.parse(body("<div class=a><div class=b><div class='c/d'><p>text</p></div></div></div>")))
+    assert path.endswith("div.b/div.c/d")
+
+
 def page(k, text, more=""):
     return body(f"<div class='wrap w{k}'><div class='post post-{k}'><p>{text}</p></div><div class=box>{more}</div></div>")
 
