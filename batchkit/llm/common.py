@@ -27,6 +27,32 @@ def crc_mod(id_col: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def text_sha(text: Column) -> Column:
+    """SHA-256 in hex digits; a null text counts as empty."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def keep_one(docs: DataFrame, id_col: str, sha: Column, settled: DataFrame) -> DataFrame:
+    """``docs`` without the ``id`` and ``sha`` that ``settled`` calls ``lost``, one row of each other in it.
+
+    ``settled`` is a written table without repeats; null ids are equal. What it does not name stays.
+    """
+    key = "_sha"
+    while key in {c.lower() for c in docs.columns}:
+        key += "_"
+    rows = docs.withColumn(key, sha)
+
+    def same(some: DataFrame) -> Column:
+        return rows[id_col].eqNullSafe(some["id"]) & (rows[key] == some["sha"])
+
+    left = rows.join(settled, same(settled), "left_anti")
+    repeated = settled.filter("NOT lost")
+    if not repeated.isEmpty():
+        some = rows.join(repeated, same(repeated), "left_semi")
+        left = left.unionByName(some.dropDuplicates([id_col, key]))
+    return left.drop(key)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, size: int = 1 << 20
 ) -> Iterator[pa.RecordBatch]:

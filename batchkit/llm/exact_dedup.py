@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from batchkit.llm.common import keep_one, text_sha
 from batchkit.operators.staging import Stage
 
 
@@ -93,18 +94,19 @@ def find_copies(
 def drop_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
-    """The documents that ``find_copies`` keeps, with all their columns.
+    """One whole row of each group of ``find_copies``, with all its columns.
 
-    Rows that repeat the id and the text of a kept row stay too, as nothing tells them apart. A row
-    without an id cannot be named, so it is never dropped.
+    It has the largest id of the group, or none if no row of the group has one. Of rows that repeat
+    this id any one stays.
     """
-    found = find_copies(docs, id_col, text_col, **options)
-    losers = (
-        found.filter(~F.col("kept") & F.col(id_col).isNotNull())
-        .select(F.col(id_col).alias("_lost"), F.col("text_sha256").alias("_lost_sha"))
-        .distinct()
+    stage = options.pop("stage", None) or Stage(docs.sparkSession)
+    found = find_copies(docs, id_col, text_col, stage=stage, **options)
+    lost = ~F.col("kept") & F.col("keep_id").isNotNull()
+    settled = (
+        found.filter("group_size > 1")
+        .groupBy(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"))
+        .agg(F.max(lost).alias("lost"), F.count(F.lit(1)).alias("n"))
+        .filter("lost OR n > 1")
     )
     normalise = options.get("normalise", lambda text: text)
-    sha = F.sha2(F.coalesce(normalise(docs[text_col]), F.lit("")), 256)
-    same = (docs[id_col] == losers["_lost"]) & (sha == losers["_lost_sha"])
-    return docs.join(losers, same, "left_anti")
+    return keep_one(docs, id_col, text_sha(normalise(docs[text_col])), stage.put(settled, "settled"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from batchkit.llm import cells
-from batchkit.llm.common import narrow
+from batchkit.llm.common import keep_one, narrow, text_sha
 from batchkit.llm.components import connected_components
 from batchkit.operators.staging import Stage
 
@@ -93,7 +93,8 @@ def find_near(
 
     Fingerprints that differ in at most ``distance`` bits are linked; ``component_id`` is the
     smallest id reachable by links, its own included. Documents of equal fingerprint become one
-    point first, so a group of copies of any size costs one row.
+    point first, so a group of copies of any size costs one row. An id that repeats with another text
+    links nothing: each row has the component of its own fingerprint.
 
     Candidates are points that agree in ``shared_blocks`` whole blocks of bits (``block_masks``
     misses no link; more blocks mean more tables with smaller cells, for larger inputs). In a
@@ -102,8 +103,8 @@ def find_near(
     A cell hands on at most one link per point, to the first point it is connected to.
 
     Null texts count as empty, and texts without words have fingerprint zero, linked like any
-    other. Rows without an id are returned with the component of their fingerprint; the smallest
-    id is taken of the others. An empty table gives no rows; other columns are not read.
+    other. Rows without an id are returned with the component of their fingerprint, and link like
+    others; the smallest id is taken of those that have one. An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
     stage = stage or Stage(spark)
@@ -123,15 +124,14 @@ def find_near(
         ]
     )
     cell = ["_table", "_key"]
-    rows = points.filter("node IS NOT NULL").select(
-        "node", "fingerprint", F.inline(tables)
-    )
-    dealt = cells.meetings(rows, cell, "node", stage, block)
+    rows = points.select("fingerprint", F.inline(tables))
+    dealt = cells.meetings(rows, cell, "fingerprint", stage, block)
     reference = pivot_prints(pivots)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, after in cells.whole_groups(batches, [*cell, *cells.GROUP]):
-            points = table["fingerprint"].to_numpy().view(np.uint64)
+            nodes = table["fingerprint"].to_numpy()
+            points = nodes.view(np.uint64)
             forest = cells.Forest(len(points))
             busy = after > 0
             busy[1:] |= busy[:-1].copy()
@@ -143,17 +143,18 @@ def find_near(
                     a, b = a[near], b[near]
                 near = np.bitwise_count(points[a] ^ points[b]) <= distance
                 forest.link(a[near], b[near])
-            nodes = table["node"].to_numpy()
             hung = np.flatnonzero(forest.root != np.arange(len(points)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes[hung]), pa.array(nodes[forest.root[hung]])], ["a", "b"]
             )
 
-    kind = points.schema["node"].dataType.simpleString()
-    edges = dealt.mapInArrow(link, f"a {kind}, b {kind}")
-    linked = connected_components(edges, stage)
-    reached = points.join(linked, "node", "left").select(
-        "fingerprint", F.coalesce("component", "node").alias("component_id")
+    edges = dealt.mapInArrow(link, "a long, b long")
+    linked = connected_components(edges, stage).withColumnRenamed("node", "fingerprint")
+    least = linked.join(points, "fingerprint").groupBy("component").agg(F.min("node").alias("least"))
+    linked = linked.join(stage.put(least, "least"), "component").select("fingerprint", "component", "least")
+    reached = points.join(linked, "fingerprint", "left").select(
+        "fingerprint",
+        F.when(F.col("component").isNull(), F.col("node")).otherwise(F.col("least")).alias("component_id"),
     )
     return prints.join(reached, "fingerprint").select(
         F.col("_id").alias(id_col),
@@ -163,8 +164,21 @@ def find_near(
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents whose id is the smallest of their group, with all their columns."""
-    found = find_near(docs, id_col, text_col, **options)
-    losers = found.filter(F.col(id_col) != F.col("component_id"))
-    losers = losers.select(F.col(id_col).alias("_lost")).distinct()
-    return docs.join(losers, docs[id_col] == losers["_lost"], "left_anti")
+    """One whole row of each group of near copies, with all its columns.
+
+    It has the smallest id of the group, or none if no row of the group has one; then the first text
+    by digest. Documents are told apart by id and text, so rows that share an id and differ in the text
+    stay or go by their own groups. Of rows that repeat both any one stays.
+    """
+    stage = options.pop("stage", None) or Stage(docs.sparkSession)
+    sha = text_sha(docs[text_col])
+    name = F.struct(docs[id_col].isNull().alias("none"), docs[id_col].alias("id"), sha.alias("sha"))
+    named = docs.select(name.alias("name"), docs[text_col].alias("text"))
+    settled = (
+        find_near(named, "name", "text", stage=stage, **options)
+        .groupBy("name", "component_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("name.id", "name.sha", (F.col("name") != F.col("component_id")).alias("lost"), "n")
+        .filter("lost OR n > 1")
+    )
+    return keep_one(docs, id_col, sha, stage.put(settled, "settled"))

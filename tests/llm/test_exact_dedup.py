@@ -53,3 +53,12 @@ def test_empty_table_and_clashing_columns(spark):
     assert {(r.doc_id, r.keep_id) for r in exact_dedup.find_copies(df).collect()} == {(1, 2), (2, 2)}
     kept = exact_dedup.drop_copies(df)
     assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [2]
+
+
+def test_one_whole_row_of_each_group_stays(spark, rows):
+    data = [(None, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "c"), (2, "c"), (2, "d"), (3, "d"), (3, "e"), (None, "f"), (4, None)]
+    kept = exact_dedup.drop_copies(spark.createDataFrame(data, SCHEMA).repartition(3))
+    want = [(1, "a"), (None, "b"), (2, "c"), (3, "d"), (3, "e"), (None, "f"), (4, None)]
+    assert rows(kept) == sorted(want, key=repr)
+    twice = kept.unionByName(kept)
+    assert rows(exact_dedup.drop_copies(twice)) == sorted(want, key=repr)

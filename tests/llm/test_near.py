@@ -130,6 +130,20 @@ def test_simhash_edges(spark):
     assert simhash.drop_near(clash.filter("doc_id IN (3, 4, 8)")).columns == clash.columns
 
 
+def test_documents_that_share_an_id(spark):
+    near, far, other = ("one two three four", "ONE two three four", "quite another text of words")
+    data = [(3, near, "a"), (5, far, "b"), (5, other, "c"), (5, other, "c"), (None, "no id", "d"), (None, "NO id", "e")]
+    data += [(None, near, "f"), (7, near + " five", "g"), (7, near + " five", "g")]
+    df = spark.createDataFrame(data, "doc_id long, text string, _sha string").repartition(3)
+    got = sorted((r.doc_id or 0, r.component_id or 0) for r in simhash.find_near(df).collect())
+    assert got == [(0, 0), (0, 0), (0, 3), (3, 3), (5, 3), (5, 5), (5, 5), (7, 7), (7, 7)]
+    kept = simhash.drop_near(df)
+    assert kept.columns == df.columns
+    kept = sorted((r.doc_id or 0, r.text.lower(), r._sha) for r in kept.collect())
+    assert [k[:2] for k in kept] == [(0, "no id"), (3, near), (5, other), (7, near + " five")]
+    assert [k[2] for k in kept[1:]] == ["a", "c", "g"]
+
+
 def test_masks_miss_no_link():
     rng = np.random.default_rng(2)
     masks = simhash.block_masks(4, 2)
