@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from batchkit.llm.common import crc_mod
+from batchkit.llm.common import crc_mod, text_sha
 from batchkit.operators.staging import Stage
 
 
@@ -23,7 +23,9 @@ def sample(
 
     Only ids whose crc32 modulo ``divisor`` is not ``held_out`` are used, at most ``rows_per_class``
     for each of the labels 0 and 1. An id that is labelled more than once has its largest label; null
-    ids and labels are left out. The sample is small enough to be broadcast: two numbers a row.
+    ids and labels are left out. The sample is small enough to be broadcast: two numbers a row. Of an
+    id that repeats with several texts the one of the smallest digest is taken, found in each task
+    before the shuffle, so that the sample has one row for each chosen id.
     """
     known = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
@@ -44,4 +46,5 @@ def sample(
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     found = texts.join(F.broadcast(stage.put(chosen, f"chosen-{label_col}")), "_id")
-    return found.select("text", "label", "place"), counts
+    once = found.groupBy("_id", "label", "place").agg(F.min_by("text", text_sha(F.col("text"))).alias("text"))
+    return once.select("text", "label", "place"), counts

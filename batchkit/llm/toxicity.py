@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import arrow_udf
 
 from batchkit.llm import labels as sampling
-from batchkit.llm.common import crc_mod
+from batchkit.llm.common import crc_mod, slices
 from batchkit.llm.words import Codes
 from batchkit.operators.staging import Stage
 
@@ -121,8 +121,8 @@ def fit(
 ) -> Model:
     """Learn from a bounded sample of labelled documents, one after another in a fixed order.
 
-    ``rows_per_class`` bounds the sample, which one task holds as arrays of places (at most 2**BITS
-    a document). Labels of held-out ids are not read (see ``labels.sample``). The bias is corrected
+    ``rows_per_class`` bounds the sample. It is written as arrays of places (at most 2**BITS a document),
+    and one task reads it again for each epoch, a batch at a time. Labels of held-out ids are not read (see ``labels.sample``). The bias is corrected
     for the share of the labels in the sample. Without labels of both classes nothing is learned but
     the smoothed share of class 1.
     """
@@ -136,7 +136,7 @@ def fit(
         return Model(np.empty(0, np.int32), np.empty(0, np.float32), float(np.log(share / (1 - share))))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "text"):
             places = [np.unique(features(t)) for t in batch["text"].to_pylist()]
             offsets = pa.array(np.cumsum([0, *map(len, places)]).astype(np.int32))
             flat = pa.array(np.concatenate([np.empty(0, np.int32), *places]))
@@ -145,32 +145,38 @@ def fit(
                 ["places", "label", "place"],
             )
 
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [
-            (p.values.to_numpy(), label)
-            for batch in batches
-            for p, label in zip(batch["places"], batch["label"].to_pylist(), strict=True)
-        ]
-        model = Ftrl()
-        for _ in range(epochs):
-            for places, label in seen:
-                model.learn(places, label)
-        w = model.weights(slice(0, 1 << BITS))
-        at = np.flatnonzero(w)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(at, 1 << BITS), pa.int32()), pa.array(np.append(w[at], model.bias()))],
-            ["place", "weight"],
-        )
+    def epoch(model: Ftrl) -> Ftrl:
+        shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    found = rows.mapInArrow(find, "places array<int>, label int, place long")
-    learned = found.repartition(1).sortWithinPartitions("place", "label", "places").mapInArrow(
-        learn, "place int, weight double"
-    )
-    weights = learned.toArrow().sort_by("place")
-    places, values = weights["place"].to_numpy(), weights["weight"].to_numpy()
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = Ftrl()
+            model.z, model.n = shared.value.z.copy(), shared.value.n.copy()
+            for batch in batches:
+                for p, label in zip(batch["places"], batch["label"].to_pylist(), strict=True):
+                    model.learn(p.values.to_numpy(), label)
+            at = np.flatnonzero(model.n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at, pa.int32()), pa.array(model.z[at]), pa.array(model.n[at])], ["at", "z", "n"]
+            )
+
+        one = found.repartition(1).sortWithinPartitions("place", "label", "places")
+        state = one.mapInArrow(learn, "at int, z double, n double").toArrow()
+        shared.destroy()
+        after = Ftrl()
+        at = state["at"].to_numpy()
+        after.z[at], after.n[at] = state["z"].to_numpy(), state["n"].to_numpy()
+        return after
+
+    found = stage.put(rows.mapInArrow(find, "places array<int>, label int, place long"), "features")
+    model = Ftrl()
+    for _ in range(epochs):
+        model = epoch(model)
+    stage.remove("features")
+    values = model.weights(slice(0, 1 << BITS))
+    places = np.flatnonzero(values).astype(np.int32)
     taken = {c: min(n, rows_per_class) for c, n in counts.items()}
     shift = np.log(toxic / clean) - np.log(taken[1] / taken[0])
-    return Model(places[:-1], values[:-1].astype(np.float32), float(values[-1] + shift))
+    return Model(places, values[places].astype(np.float32), float(model.bias() + shift))
 
 
 def score(model: Model, text: Column, spark) -> Column:

@@ -1,12 +1,15 @@
 """Held-out accuracy, the bounds of the samples and defined results for odd input."""
 
+import hashlib
 import zlib
 
 import numpy as np
 import pytest
 
+from batchkit.llm import labels as sampling
 from batchkit.llm import quality, queries, toxicity
 from batchkit.llm.common import load
+from batchkit.operators.staging import Stage
 
 SF_DIR = "/root/testdata/sf0.01"
 SCHEMA = "doc_id long, text string, score int, label string"
@@ -108,3 +111,31 @@ def test_ftrl_keeps_only_what_matters():
         model.learn(np.unique(np.append(some, 7) if k % 4 == 0 else some), int(k % 4 == 0))
     w = model.weights(slice(0, 1 << toxicity.BITS))
     assert w[7] > 1 and np.count_nonzero(w) < 500
+
+
+def test_the_sample_has_one_row_for_each_chosen_id(spark):
+    data = [(1, f"copy {k}") for k in range(300)] + [(i, f"words of {i}") for i in range(2, 60)] + [(2, None), (None, "x")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    for some in (docs, docs.repartition(5, "text")):
+        found, counts = sampling.sample(some, labels, "toxic", 1, 1, 20, Stage(spark))
+        rows = found.collect()
+        assert len({r.place for r in rows}) == len(rows) == 40 and counts == {0: 29, 1: 30}
+        found, _ = sampling.sample(some, labels, "toxic", 1, 1, 99, Stage(spark))
+        texts = sorted(r.text for r in found.collect())
+        first = min((t for i, t in data if i == 1), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+        assert len(texts) == 59 and [t for t in texts if t.startswith("copy")] == [first]
+
+
+def test_epochs_over_the_stored_sample(spark):
+    docs = spark.createDataFrame([(i, f"word{i % 7} text {'bad' if i % 2 else 'fine'} {i}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    rows, counts = sampling.sample(docs, labels, "toxic", 5, 0, 1000, Stage(spark))
+    plain = toxicity.Ftrl()
+    seen = sorted(rows.collect(), key=lambda r: r.place)
+    for _ in range(3):
+        for r in seen:
+            plain.learn(np.unique(toxicity.features(r.text)), r.label)
+    model = toxicity.fit(docs, labels)
+    assert np.array_equal(model.dense(), plain.weights(slice(0, 1 << toxicity.BITS)).astype(np.float32))
+    assert model.bias == plain.bias() and len(model.places)
