@@ -11,6 +11,7 @@ from batchkit.llm import (
     embeddings,
     exact_dedup,
     extract,
+    fingerprints,
     packing,
     quality,
     simhash,
@@ -98,6 +99,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edits(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -111,5 +116,6 @@ QUERIES = {
         op8_html_extraction,
         op9_best_fit_packing,
         op10_warc,
+        op12_document_fingerprints,
     )
 }
