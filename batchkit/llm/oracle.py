@@ -72,4 +72,48 @@ ORACLE = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
         FROM best
     """,
+    "op13_phrase_collocations": """
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\\x0A-\\x0D]')) AS piece
+            FROM documents
+        ), lists AS (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+        ), grams AS (
+            SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) AS g
+            FROM lists, range(1, 4) AS sizes(m)
+        ), f AS (
+            SELECT lang, m, g, array_to_string(g, ' ') AS phrase, count(*) AS f
+            FROM grams GROUP BY lang, m, g
+        ), totals AS (
+            SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT * FROM f WHERE m > 1 AND f >= 10
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+                   (1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM candidates c, range(1, 3) AS places(k), f l, f r
+            WHERE k < c.m AND l.lang = c.lang AND l.phrase = array_to_string(c.g[1:k], ' ')
+              AND r.lang = c.lang AND r.phrase = array_to_string(c.g[k + 1:], ' ')
+        ), scored AS (
+            SELECT lang, phrase, a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r,
+                   min(score) AS score
+            FROM cuts GROUP BY lang, phrase, a
+        ), inside AS (
+            SELECT lang, phrase, max(f) AS longer FROM (
+                SELECT lang, f, array_to_string(g[1:2], ' ') AS phrase FROM candidates WHERE m = 3
+                UNION ALL
+                SELECT lang, f, array_to_string(g[2:3], ' ') FROM candidates WHERE m = 3
+            ) GROUP BY lang, phrase
+        ), ranked AS (
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+                   phrase, a, l, r, score
+            FROM scored LEFT JOIN inside USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * longer < 50 * a
+        )
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang)
+        WHERE rank <= 2000
+    """,
 }

@@ -13,6 +13,7 @@ from batchkit.llm import (
     extract,
     fingerprints,
     packing,
+    phrases,
     quality,
     simhash,
     toxicity,
@@ -103,6 +104,10 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(load(spark, sf_dir, "documents"))
 
 
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -117,5 +122,6 @@ QUERIES = {
         op9_best_fit_packing,
         op10_warc,
         op12_document_fingerprints,
+        op13_phrase_collocations,
     )
 }
