@@ -11,13 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from batchkit.llm.common import slices
 from batchkit.operators.staging import Stage
 
 END = 0  # the code of the end of a piece: no word
+DITTO = 1  # the code of the mark for the word of the row before
 
 # Every mark that ends a piece becomes a line feed, every other separator of words a blank.
 MARKS = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\t", b"\n" * 9 + b" ")
@@ -102,6 +103,65 @@ def _alone(words, weights, rows, depths, least):
                 yield d + 1, rows[chosen], weights[rows[chosen]], final
 
 
+class Words:
+    """Codes of the words that a task meets, and their hashes, the same in every task."""
+
+    def __init__(self):
+        self.codes: dict[bytes, int] = {b".": END, b",": DITTO}
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        codes = self.codes
+        for word in set(words).difference(codes):
+            codes[word] = len(codes)
+        return np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxhash.xxh64_intdigest, self.codes), np.uint64, len(self.codes))
+
+
+def route(lang: str, leading: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
+    """A hash of the language and the leading words of every row."""
+    mixed = np.full(len(leading[0]), xxhash.xxh64_intdigest(lang), np.uint64)
+    for codes in leading:
+        mixed = (mixed ^ hashes[codes]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return mixed
+
+
+def parcels(
+    lang: str, columns: list[np.ndarray], counts: np.ndarray, words: Words, level: int, parts: int
+) -> Iterator[tuple[int, int, bytes]]:
+    """The rows of a language by ``route`` of ``level`` words modulo ``parts``: bucket, rows, packed rows.
+
+    Packed are the words and the counts of the rows in order; a word that is the same as in the row before,
+    as are all words in front of it, is a mark.
+    """
+    bucket = (route(lang, columns[:level], words.hashes()) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort([*columns[::-1], bucket])
+    bucket, counts = bucket[order], counts[order]
+    lines = np.stack([c[order] for c in columns], axis=1)
+    starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
+    same = np.logical_and.accumulate(lines[1:] == lines[:-1], axis=1)
+    same[starts[1:] - 1] = False
+    lines[1:][same] = DITTO
+    names = list(words.codes)
+    for first, last in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
+        text = b" ".join([names[code] for code in lines[first:last].ravel().tolist()])
+        data = text + counts[first:last].astype("<i8").tobytes()
+        packed = pa.Codec("zstd", 1).compress(data, asbytes=True)
+        yield int(bucket[first]), int(last - first), len(data).to_bytes(8) + packed
+
+
+def unpack(packed: bytes, rows: int, depth: int, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Codes (a line for each row) and counts of packed rows."""
+    data = pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8]), asbytes=True)
+    lines = words.of(data[: len(data) - 8 * rows].split(b" ")).reshape(rows, depth)
+    for d in range(depth):
+        known = np.where(lines[:, d] != DITTO, np.arange(rows), 0)
+        lines[:, d] = lines[np.maximum.accumulate(known), d]
+    return lines, np.frombuffer(data[len(data) - 8 * rows :], "<i8").astype(np.int64)
+
+
 class Suffixes:
     """Suffixes of texts as pointers into one row of word codes, some languages side by side."""
 
@@ -110,26 +170,23 @@ class Suffixes:
         self.clear()
 
     def clear(self) -> None:
-        self.codes: dict[bytes, int] = {b".": END}
+        self.words = Words()
         self.langs: list[str] = []
         self.runs: list[np.ndarray] = []
         self.size = 0
 
     def add(self, lang: str, text: bytes) -> None:
-        words = tokens(text)
-        codes = self.codes
-        for word in set(words).difference(codes):
-            codes[word] = len(codes)
         self.langs.append(lang)
-        self.runs.append(np.fromiter(map(codes.__getitem__, words), np.int32, len(words)))
-        self.size += len(words)
+        self.runs.append(self.words.of(tokens(text)))
+        self.size += len(self.runs[-1])
 
-    def combined(self) -> pa.RecordBatch:
-        """Each language and suffix once, with the number of its occurrences, in the order of the codes."""
+    def combined(self, buckets: int) -> pa.RecordBatch:
+        """Each language and suffix once, with the number of its occurrences, as ``PARCELS``."""
         gap = np.zeros(self.depth, np.int32)
         line = np.concatenate([part for run in self.runs for part in (run, gap)])
-        names = {lang: k for k, lang in enumerate(dict.fromkeys(self.langs), 1)}
-        spoken = np.array([names[lang] for lang in self.langs], np.int32)
+        langs = list(dict.fromkeys(self.langs))
+        numbers = {lang: k for k, lang in enumerate(langs)}
+        spoken = np.array([numbers[lang] + 1 for lang in self.langs], np.int32)
         spoken = np.repeat(spoken, [len(run) + self.depth for run in self.runs])
         pointers = np.flatnonzero(line)
         columns = [spoken[pointers], line[pointers]]
@@ -137,31 +194,37 @@ class Suffixes:
             columns.append(np.where(columns[-1] == END, END, line[pointers + d]))
         groups = equal_groups(columns, np.ones(len(pointers), np.int64), 1)
         found = [(rows, weight) for _, rows, weight, whole in groups if whole]
-        rows = np.concatenate([r for r, _ in found]) if found else np.empty(0, np.int32)
-        counts = np.concatenate([w for _, w in found]) if found else np.empty(0, np.int64)
-        columns = [c[rows] for c in columns]
-        order = np.lexsort(columns[::-1])
-        words = list(self.codes)
-        words[END] = b""
-        words = pa.array(words, pa.binary()).cast(pa.string())
-        spelled = [pa.array(["", *names], pa.string()).take(pa.array(columns[0][order]))]
-        spelled += [words.take(pa.array(c[order])) for c in columns[1:]]
+        made = []
+        if found:
+            rows = np.concatenate([r for r, _ in found])
+            counts = np.concatenate([w for _, w in found])
+            for k, lang in enumerate(langs):
+                own = columns[0][rows] == k + 1
+                if own.any():
+                    some = [c[rows[own]] for c in columns[1:]]
+                    total = int(counts[own].sum())
+                    for parcel in parcels(lang, some, counts[own], self.words, 1, buckets):
+                        made.append((lang, *parcel, total))
+                        total = 0
         self.clear()
+        columns = zip(*made, strict=True) if made else ((), (), (), (), ())
         return pa.RecordBatch.from_arrays(
-            [*spelled, pa.array(counts[order])], ["lang", *word_columns(self.depth), "n"]
+            [pa.array(c, t) for c, t in zip(columns, PARCEL_TYPES, strict=True)], PARCEL_NAMES
         )
 
 
-def word_columns(depth: int) -> list[str]:
-    return [f"w{d}" for d in range(depth)]
+PARCELS = "lang string, bucket long, rows long, packed binary, n long"
+PARCEL_NAMES = [part.split()[0] for part in PARCELS.split(", ")]
+PARCEL_TYPES = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
 
 
 def local_suffixes(
-    docs: DataFrame, depth: int, window: int, text_col: str, lang_col: str
+    docs: DataFrame, depth: int, window: int, buckets: int, text_col: str, lang_col: str
 ) -> DataFrame:
-    """``lang``, the words ``w0``, ``w1`` ... of a suffix (empty behind its last) and ``n``.
+    """The suffixes of all texts in parcels, one for each language and ``route`` of the leading word.
 
-    Each task sorts about ``window`` suffixes at a time and hands on equal ones as one row.
+    Each task sorts about ``window`` suffixes at a time, so equal ones are one row with a count. ``n`` adds
+    up to the number of words of a language.
     """
     rows = docs.select(
         F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"),
@@ -175,81 +238,104 @@ def local_suffixes(
             for lang, text in zip(batch["lang"].to_pylist(), texts, strict=True):
                 suffixes.add(lang, text)
                 if suffixes.size >= window:
-                    yield suffixes.combined()
+                    yield suffixes.combined(buckets)
         if suffixes.size:
-            yield suffixes.combined()
+            yield suffixes.combined(buckets)
+
+    return rows.mapInArrow(run, PARCELS)
+
+
+def _spelled(names: list[bytes], lines: np.ndarray, lang: str, counts: np.ndarray, depth: int):
+    """A batch of phrases: language, words and count."""
+    words = pa.array(names, pa.binary()).cast(pa.string())
+    flat = words.take(pa.array(lines.ravel()))
+    listed = pa.ListArray.from_arrays(
+        pa.array(np.arange(len(lines) + 1, dtype=np.int32) * lines.shape[1]), flat
+    )
+    langs = pa.array([lang], pa.string()).take(pa.array(np.zeros(len(lines), np.int32)))
+    return pa.RecordBatch.from_arrays([langs, listed, pa.array(counts)], ["lang", "words", "f"])
 
-    words = ", ".join(f"{w} string" for w in word_columns(depth))
-    return rows.mapInArrow(run, f"lang string, {words}, n long")
+
+PHRASES = "lang string, words array<string>, f long"
 
 
 def phrase_counts(
-    suffixes: DataFrame,
-    depth: int,
-    least: int,
-    stage: Stage,
-    rows_per_task: int = 600_000,
-    crowded: int = 100_000,
+    suffixes: DataFrame, depth: int, least: int, stage: Stage, rows_per_task: int
 ) -> DataFrame:
-    """``lang``, ``words`` (array) and ``f`` of all phrases of up to ``depth`` words with f >= ``least``.
+    """``lang``, ``words`` and ``f`` of all phrases of up to ``depth`` words with f >= ``least``.
 
-    ``suffixes`` is a written table of ``local_suffixes``. Rows with the same leading word meet in one
-    task. A leading word with more than ``crowded`` rows is routed by its first two words, a pair with
-    more by three, and so on; their own counts, of which each task then has only a part, are added up
-    while such words are looked for. A task sorts its rows by ``equal_groups``.
+    ``suffixes`` is a written table of ``local_suffixes``. Parcels of one bucket, which hold all rows of
+    their leading words, meet in one task, and ``equal_groups`` counts them. A bucket of more than
+    ``rows_per_task`` rows is dealt out anew by the first two words of its rows, a part of it that is
+    still too large by three, and so on. The counts of the words that no longer meet are added up on the way.
     """
-    columns = word_columns(depth)
-    found = None
-    routed, route = suffixes, ["lang", columns[0]]
-    for d in range(1, depth):
-        keys = ["lang", *columns[:d]]
-        some = routed if d == 1 else routed.filter(F.col(f"_by{d - 1}") != "")
-        counted = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.sum("n").alias("f"))
-        hot = stage.put(counted.filter(F.col("_rows") > crowded).drop("_rows"), f"crowded-{d}")
+    keys = ["lang", "bucket"]
+    ready, found, left = [], [], suffixes.select("lang", "bucket", "rows", "packed", F.lit(0).alias("level"))
+    for level in range(1, depth):
+        sizes = left.groupBy(*keys).agg(F.sum("rows").alias("_all"))
+        hot = sizes.filter(F.col("_all") > rows_per_task)
+        hot = stage.put(hot.withColumn("_parts", F.ceil(8 * F.col("_all") / rows_per_task)), f"crowded-{level}")
         if hot.isEmpty():
             break
-        whole = hot.filter((F.col("f") >= least) & (F.col(columns[d - 1]) != ""))
-        whole = whole.select("lang", F.array(*columns[:d]).alias("words"), "f")
-        found = whole if found is None else found.unionByName(whole)
-        by = F.when(F.col("f").isNotNull(), F.concat(F.lit("."), columns[d])).otherwise("")
-        routed = routed.join(hot, keys, "left").withColumn(f"_by{d}", by).drop("f")
-        route.append(f"_by{d}")
-    split = len(route) - 2
-    tasks = max(1, round(suffixes.count() / rows_per_task))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filled = [batch for batch in batches if batch.num_rows]
-        if not filled:
-            return
-        table = pa.Table.from_batches(filled).combine_chunks()
-        size = table.num_rows
-        names = ["lang", *columns]
-        parts = [pa.array([""]), *(c for n in names for c in table[n].chunks)]
-        coded = pa.concat_arrays(parts).dictionary_encode()
-        codes = coded.indices.to_numpy()[1:].reshape(len(names), size)
-        # languages are never at their end, even an empty name
-        codes = [codes[0] + 1, *codes[1:]]
-        weights = table["n"].to_numpy()
-        partial = [np.zeros(size, bool)] * (depth + 1)
-        for d in range(1, split + 1):
-            partial[d] = pc.not_equal(table[f"_by{d}"], "").to_numpy()
-        for length, rows, weight, whole in equal_groups(codes, weights, least):
-            length -= 1
-            if length < 1 or (whole and length < depth):
-                continue
-            keep = ~partial[length][rows]
-            rows, weight = rows[keep], weight[keep]
-            spelled = [coded.dictionary.take(pa.array(codes[d][rows])) for d in range(1, length + 1)]
-            spelled += [pa.nulls(len(rows), pa.string())] * (depth - length)
-            lang = coded.dictionary.take(pa.array(codes[0][rows] - 1))
-            yield pa.RecordBatch.from_arrays(
-                [lang, *spelled, pa.array(weight)], ["lang", *columns, "f"]
-            )
-
-    words = ", ".join(f"{w} string" for w in columns)
-    counted = routed.repartition(tasks, *route).mapInArrow(run, f"lang string, {words}, f long")
-    counted = counted.select("lang", F.array_compact(F.array(*columns)).alias("words"), "f")
-    return counted if found is None else counted.unionByName(found)
+        crowded = left.join(hot, keys).select("lang", "bucket", "rows", "packed", "_parts")
+        ready.append(left.join(hot, keys, "left_anti"))
+
+        def deal(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                made = []
+                for lang, bucket, rows, packed, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    words = Words()
+                    lines, counts = unpack(packed, rows, depth, words)
+                    some = list(lines.T)
+                    for part, n, data in parcels(lang, some, counts, words, level + 1, parts):
+                        made.append((lang, bucket * 1_000_003 + part, n, data))
+                columns = zip(*made, strict=True) if made else ((), (), (), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, PARCEL_TYPES, strict=False)], PARCEL_NAMES[:4]
+                )
+
+        def add(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lang, _, rows, packed, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    words = Words()
+                    lines, counts = unpack(packed, rows, depth, words)
+                    lines = lines[:, :level]
+                    full = lines[:, -1] != END
+                    lines, counts = lines[full], counts[full]
+                    if len(lines):
+                        new = np.flatnonzero(np.append(True, (lines[1:] != lines[:-1]).any(axis=1)))
+                        yield _spelled(list(words.codes), lines[new], lang, np.add.reduceat(counts, new), depth)
+
+        dealt = crowded.mapInArrow(deal, ", ".join(PARCELS.split(", ")[:4]))
+        left = stage.put(dealt.withColumn("level", F.lit(level)), f"dealt-{level}")
+        summed = crowded.mapInArrow(add, PHRASES).groupBy("lang", "words").agg(F.sum("f").alias("f"))
+        found.append(summed.filter(F.col("f") >= least))
+    ready.append(left)
+    routed = ready[0]
+    for more in ready[1:]:
+        routed = routed.unionByName(more)
+    tasks = max(1, round(routed.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] / rows_per_task))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, int], tuple[Words, list]] = {}
+        for batch in batches:
+            for lang, _, rows, packed, level in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words, parts = held.setdefault((lang, level), (Words(), []))
+                parts.append(unpack(packed, rows, depth, words))
+        for (lang, level), (words, parts) in held.items():
+            columns = list(np.concatenate([lines for lines, _ in parts]).T)
+            weights = np.concatenate([counts for _, counts in parts])
+            parts.clear()
+            names = list(words.codes)
+            for length, rows, weight, whole in equal_groups(columns, weights, least):
+                if length > level and (length == depth or not whole):
+                    lines = np.stack([c[rows] for c in columns[:length]], axis=1)
+                    yield _spelled(names, lines, lang, weight, depth)
+
+    counted = routed.repartition(tasks, *keys, "level").mapInArrow(count, PHRASES)
+    for more in found:
+        counted = counted.unionByName(more)
+    return counted
 
 
 def mine(
@@ -261,8 +347,8 @@ def mine(
     window: int = 1 << 20,
     text_col: str = "text",
     lang_col: str = "lang",
+    rows_per_task: int = 1_000_000,
     stage: Stage | None = None,
-    **routing: int,
 ) -> DataFrame:
     """The most cohesive phrases of every language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
@@ -274,15 +360,20 @@ def mine(
     (both descending) and phrase (by its bytes). ``n`` is the number of words of the language.
 
     Suffixes are sorted and combined in each task (``local_suffixes``), then routed by leading words
-    and counted (``phrase_counts``). Products are decimals of 38 digits, exact up to counts of 14.
+    and counted (``phrase_counts``), about ``rows_per_task`` in a task. Products are decimals of 38 digits, exact up to counts of 14.
     Null languages are ``und``, null texts empty; a very long text is one window of its own. Repeated
     rows count each time, an empty table or one without frequent phrases gives no rows, other columns
     are not read.
     """
     stage = stage or Stage(docs.sparkSession)
-    suffixes = stage.put(local_suffixes(docs, longest, window, text_col, lang_col), "suffixes")
+    octets = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+    # six bytes a word or so: eight buckets or more for each task that counts
+    buckets = max(1024, 8 * octets // (6 * rows_per_task))
+    suffixes = stage.put(
+        local_suffixes(docs, longest, window, buckets, text_col, lang_col), "suffixes"
+    )
     totals = stage.put(suffixes.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    counts = phrase_counts(suffixes, longest, least, stage, **routing)
+    counts = phrase_counts(suffixes, longest, least, stage, rows_per_task)
     phrases = stage.put(
         counts.select("lang", F.array_join("words", " ").alias("phrase"), "words", "f"), "phrases"
     )

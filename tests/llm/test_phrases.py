@@ -57,7 +57,7 @@ def corpus(seed=3, size=300):
     return docs + [docs[-1]] * 20
 
 
-@pytest.mark.parametrize("routing", [{}, {"crowded": 20, "rows_per_task": 300, "window": 500}])
+@pytest.mark.parametrize("routing", [{}, {"rows_per_task": 30, "window": 500}])
 def test_against_plain_counts(spark, routing):
     docs = corpus()
     assert mined(spark, docs, **routing) == plain(docs)
@@ -66,14 +66,14 @@ def test_against_plain_counts(spark, routing):
 def test_longer_phrases_and_top(spark):
     docs = corpus(9, 120)
     options = {"longest": 4, "least": 4, "absorbed": 80, "top": 15}
-    assert mined(spark, docs, crowded=10, **options) == plain(docs, **options)
+    assert mined(spark, docs, rows_per_task=20, window=300, **options) == plain(docs, **options)
 
 
 def test_hot_word_and_pair(spark):
     # a third of all words is one word; a quarter of all pairs is one pair
     docs = [(f"hot hot pair{i % 2} hot w{i % 50}", "en") for i in range(400)]
     docs += [(" ".join(["hot"] * 5000), "en")]
-    got = mined(spark, docs, crowded=5, window=100)
+    got = mined(spark, docs, rows_per_task=5, window=100)
     assert got == plain(docs)
 
 
