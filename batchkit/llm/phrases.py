@@ -30,7 +30,7 @@ def tokens(text: bytes) -> list[bytes]:
 
 
 def equal_groups(
-    columns: list[np.ndarray], weights: np.ndarray, least: int
+    columns: list[np.ndarray], weights: np.ndarray | None, least: int
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, bool]]:
     """The equal partitions of a three-way multikey quicksort.
 
@@ -41,11 +41,11 @@ def equal_groups(
 
     All open partitions are split in one step: the word of a row in the middle is the pivot, the rows with
     a smaller, an equal and a larger word are put apart, in the order they had, and the equal ones
-    go one word deeper. Partitions that weigh less than ``least`` are abandoned, and a row that is alone
+    go one word deeper. Without ``weights`` every row weighs one. Partitions that weigh less than ``least`` are abandoned, and a row that is alone
     is in order already.
     """
-    depth_max, total = len(columns), len(weights)
-    words = np.stack(columns) if total else np.empty((depth_max, 0), np.int32)
+    depth_max, total = len(columns), len(columns[0])
+    words = np.concatenate(columns)  # word d of row i is at d * total + i
     rows = np.arange(total, dtype=np.int32)
     sizes = np.array([total] if total else [], np.int64)
     depths = np.zeros(len(sizes), np.int64)
@@ -53,16 +53,17 @@ def equal_groups(
         starts = np.cumsum(sizes) - sizes
         alone = sizes == 1
         if alone.any():
-            yield from _alone(words, weights, rows[starts[alone]], depths[alone], least)
+            yield from _alone(columns, weights, rows[starts[alone]], depths[alone], least)
             rows, sizes, depths = rows[np.repeat(~alone, sizes)], sizes[~alone], depths[~alone]
             starts = np.cumsum(sizes) - sizes
             if not len(sizes):
                 return
-        pivots = words[depths, rows[starts + sizes // 2]]
-        here = words[np.repeat(depths, sizes), rows]
+        pivots = words.take(depths * total + rows[starts + sizes // 2])
+        here = words.take(np.repeat(depths * total, sizes) + rows)
         there = np.repeat(pivots, sizes)
         sides = (here < there, here == there, here > there)
-        counts = np.stack([np.add.reduceat(side, starts, dtype=np.int64) for side in sides], axis=1)
+        fewer, same = (np.add.reduceat(side, starts, dtype=np.int64) for side in sides[:2])
+        counts = np.stack([fewer, same, sizes - fewer - same], axis=1)
         places = (np.cumsum(counts) - counts.ravel()).reshape(counts.shape)
         moved = np.empty_like(rows)
         for k, side in enumerate(sides):
@@ -75,7 +76,7 @@ def equal_groups(
         filled = sizes > 0
         sizes, owner, equal = sizes[filled], owner[filled], equal[filled]
         starts = np.cumsum(sizes) - sizes
-        weight = np.add.reduceat(weights[rows], starts)
+        weight = sizes if weights is None else np.add.reduceat(weights.take(rows), starts)
         ended = equal & (pivots[owner] == END)
         depths = depths[owner] + equal
         live = weight >= least
@@ -89,34 +90,37 @@ def equal_groups(
         rows, sizes, depths = rows[np.repeat(live, sizes)], sizes[live], depths[live]
 
 
-def _alone(words, weights, rows, depths, least):
+def _alone(columns, weights, rows, depths, least):
     """What is left to say of single rows, whose first ``depths`` words are settled."""
-    some = weights[rows] >= least
-    rows, depths = rows[some], depths[some]
-    lengths = (words[:, rows] != END).sum(axis=0)
-    for d in range(len(words)):
+    weight = np.ones(len(rows), np.int64) if weights is None else weights[rows]
+    some = weight >= least
+    rows, depths, weight = rows[some], depths[some], weight[some]
+    lengths = sum((c[rows] != END).astype(np.int64) for c in columns)
+    for d in range(len(columns)):
         for final, chosen in (
-            (False, (depths <= d) & (lengths > d) & (d + 1 < len(words))),
+            (False, (depths <= d) & (lengths > d) & (d + 1 < len(columns))),
             (True, lengths == d + 1),
         ):
             if chosen.any():
-                yield d + 1, rows[chosen], weights[rows[chosen]], final
+                yield d + 1, rows[chosen], weight[chosen], final
 
 
-class Words:
-    """Codes of the words that a task meets, and their hashes, the same in every task."""
+class Words(dict):
+    """Codes of the words that a task meets, in the order it meets them."""
 
     def __init__(self):
-        self.codes: dict[bytes, int] = {b".": END, b",": DITTO}
+        super().__init__({b".": END, b",": DITTO})
+
+    def __missing__(self, word: bytes) -> int:
+        code = self[word] = len(self)
+        return code
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        codes = self.codes
-        for word in set(words).difference(codes):
-            codes[word] = len(codes)
-        return np.fromiter(map(codes.__getitem__, words), np.int32, len(words))
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
     def hashes(self) -> np.ndarray:
-        return np.fromiter(map(xxhash.xxh64_intdigest, self.codes), np.uint64, len(self.codes))
+        """Hashes of the words by their codes, the same in every task."""
+        return np.fromiter(map(xxhash.xxh64_intdigest, self), np.uint64, len(self))
 
 
 def route(lang: str, leading: list[np.ndarray], hashes: np.ndarray) -> np.ndarray:
@@ -129,37 +133,55 @@ def route(lang: str, leading: list[np.ndarray], hashes: np.ndarray) -> np.ndarra
 
 
 def parcels(
-    lang: str, columns: list[np.ndarray], counts: np.ndarray, words: Words, level: int, parts: int
+    lang: str,
+    columns: list[np.ndarray],
+    counts: np.ndarray,
+    names: list[bytes],
+    hashes: np.ndarray,
+    level: int,
+    parts: int,
 ) -> Iterator[tuple[int, int, bytes]]:
     """The rows of a language by ``route`` of ``level`` words modulo ``parts``: bucket, rows, packed rows.
 
-    Packed are the words and the counts of the rows in order; a word that is the same as in the row before,
-    as are all words in front of it, is a mark.
+    Packed are the words of the rows, each once, the places of the rows' words among them and the counts; a
+    word that is the same as in the row before, as are all words in front of it, is a mark.
     """
-    bucket = (route(lang, columns[:level], words.hashes()) % np.uint64(parts)).astype(np.int64)
-    order = np.lexsort([*columns[::-1], bucket])
+    bucket = (route(lang, columns[:level], hashes) % np.uint64(parts)).astype(np.int64)
+    key, width, bits = bucket, len(names).bit_length(), parts.bit_length()
+    for codes in columns:  # rows with the same first words side by side, as far as a number goes
+        if bits + width > 63:
+            break
+        key, bits = key << width | codes, bits + width
+    order = np.argsort(key)
     bucket, counts = bucket[order], counts[order]
     lines = np.stack([c[order] for c in columns], axis=1)
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     same = np.logical_and.accumulate(lines[1:] == lines[:-1], axis=1)
     same[starts[1:] - 1] = False
     lines[1:][same] = DITTO
-    names = list(words.codes)
-    for first, last in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
-        text = b" ".join([names[code] for code in lines[first:last].ravel().tolist()])
-        data = text + counts[first:last].astype("<i8").tobytes()
-        packed = pa.Codec("zstd", 1).compress(data, asbytes=True)
-        yield int(bucket[first]), int(last - first), len(data).to_bytes(8) + packed
+    codec = pa.Codec("zstd", 1)
+    for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
+        distinct, places = np.unique(lines[first:last], return_inverse=True)
+        text = b" ".join([names[code] for code in distinct.tolist()])
+        number = counts[first:last]
+        kinds = [np.min_scalar_type(int(most)) for most in (len(distinct), number.max())]
+        data = text + places.astype(kinds[0]).tobytes() + number.astype(kinds[1]).tobytes()
+        head = b"".join(n.to_bytes(8) for n in (len(data), len(text), *(k.itemsize for k in kinds)))
+        yield int(bucket[first]), last - first, head + codec.compress(data, asbytes=True)
 
 
 def unpack(packed: bytes, rows: int, depth: int, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Codes (a line for each row) and counts of packed rows."""
-    data = pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8]), asbytes=True)
-    lines = words.of(data[: len(data) - 8 * rows].split(b" ")).reshape(rows, depth)
-    for d in range(depth):
+    size, text, *widths = (int.from_bytes(packed[i : i + 8]) for i in range(0, 32, 8))
+    data = pa.Codec("zstd").decompress(packed[32:], size, asbytes=True)
+    codes = words.of(data[:text].split(b" "))
+    places, counts = (np.dtype(f"u{width}") for width in widths)
+    lines = codes[np.frombuffer(data, places, rows * depth, text)].reshape(rows, depth)
+    for d in range(depth - 1):
         known = np.where(lines[:, d] != DITTO, np.arange(rows), 0)
         lines[:, d] = lines[np.maximum.accumulate(known), d]
-    return lines, np.frombuffer(data[len(data) - 8 * rows :], "<i8").astype(np.int64)
+    counts = np.frombuffer(data, counts, rows, text + rows * depth * places.itemsize)
+    return lines, counts.astype(np.int64)
 
 
 class Suffixes:
@@ -192,18 +214,19 @@ class Suffixes:
         columns = [spoken[pointers], line[pointers]]
         for d in range(1, self.depth):
             columns.append(np.where(columns[-1] == END, END, line[pointers + d]))
-        groups = equal_groups(columns, np.ones(len(pointers), np.int64), 1)
+        groups = equal_groups(columns, None, 1)
         found = [(rows, weight) for _, rows, weight, whole in groups if whole]
         made = []
         if found:
             rows = np.concatenate([r for r, _ in found])
             counts = np.concatenate([w for _, w in found])
+            spelled = list(self.words), self.words.hashes()
             for k, lang in enumerate(langs):
                 own = columns[0][rows] == k + 1
                 if own.any():
                     some = [c[rows[own]] for c in columns[1:]]
                     total = int(counts[own].sum())
-                    for parcel in parcels(lang, some, counts[own], self.words, 1, buckets):
+                    for parcel in parcels(lang, some, counts[own], *spelled, 1, buckets):
                         made.append((lang, *parcel, total))
                         total = 0
         self.clear()
@@ -286,8 +309,8 @@ def phrase_counts(
                 for lang, bucket, rows, packed, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     words = Words()
                     lines, counts = unpack(packed, rows, depth, words)
-                    some = list(lines.T)
-                    for part, n, data in parcels(lang, some, counts, words, level + 1, parts):
+                    spelled = list(words), words.hashes()
+                    for part, n, data in parcels(lang, list(lines.T), counts, *spelled, level + 1, parts):
                         made.append((lang, bucket * 1_000_003 + part, n, data))
                 columns = zip(*made, strict=True) if made else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
@@ -304,7 +327,7 @@ def phrase_counts(
                     lines, counts = lines[full], counts[full]
                     if len(lines):
                         new = np.flatnonzero(np.append(True, (lines[1:] != lines[:-1]).any(axis=1)))
-                        yield _spelled(list(words.codes), lines[new], lang, np.add.reduceat(counts, new), depth)
+                        yield _spelled(list(words), lines[new], lang, np.add.reduceat(counts, new), depth)
 
         dealt = crowded.mapInArrow(deal, ", ".join(PARCELS.split(", ")[:4]))
         left = stage.put(dealt.withColumn("level", F.lit(level)), f"dealt-{level}")
@@ -326,7 +349,7 @@ def phrase_counts(
             columns = list(np.concatenate([lines for lines, _ in parts]).T)
             weights = np.concatenate([counts for _, counts in parts])
             parts.clear()
-            names = list(words.codes)
+            names = list(words)
             for length, rows, weight, whole in equal_groups(columns, weights, least):
                 if length > level and (length == depth or not whole):
                     lines = np.stack([c[rows] for c in columns[:length]], axis=1)
@@ -367,8 +390,8 @@ def mine(
     """
     stage = stage or Stage(docs.sparkSession)
     octets = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    # six bytes a word or so: eight buckets or more for each task that counts
-    buckets = max(1024, 8 * octets // (6 * rows_per_task))
+    # six bytes a word or so: several buckets for each task that counts
+    buckets = max(256, 4 * octets // (6 * rows_per_task))
     suffixes = stage.put(
         local_suffixes(docs, longest, window, buckets, text_col, lang_col), "suffixes"
     )
