@@ -311,7 +311,7 @@ def phrase_counts(
                     lines, counts = unpack(packed, rows, depth, words)
                     spelled = list(words), words.hashes()
                     for part, n, data in parcels(lang, list(lines.T), counts, *spelled, level + 1, parts):
-                        made.append((lang, bucket * 1_000_003 + part, n, data))
+                        made.append((lang, (bucket * 1_000_003 + part) % (1 << 61), n, data))
                 columns = zip(*made, strict=True) if made else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, PARCEL_TYPES, strict=False)], PARCEL_NAMES[:4]
@@ -350,6 +350,12 @@ def phrase_counts(
             weights = np.concatenate([counts for _, counts in parts])
             parts.clear()
             names = list(words)
+            # a word that is rare at its place is part of no frequent phrase: the row ends before it
+            for d in range(1, depth):
+                rare = np.bincount(columns[d], weights, len(names)) < least
+                ends = rare[columns[d]]
+                for further in range(d, depth):
+                    columns[further] = np.where(ends, END, columns[further])
             for length, rows, weight, whole in equal_groups(columns, weights, least):
                 if length > level and (length == depth or not whole):
                     lines = np.stack([c[rows] for c in columns[:length]], axis=1)
@@ -370,7 +376,7 @@ def mine(
     window: int = 1 << 20,
     text_col: str = "text",
     lang_col: str = "lang",
-    rows_per_task: int = 1_000_000,
+    rows_per_task: int = 600_000,
     stage: Stage | None = None,
 ) -> DataFrame:
     """The most cohesive phrases of every language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
