@@ -72,6 +72,29 @@ ORACLE = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
         FROM best
     """,
+    "op11_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id AS id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), scores AS (
+            SELECT a.id AS anchor_id, b.id AS id, a.label = b.label AS same,
+                   list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM vectors a JOIN vectors b ON a.id <> b.id WHERE a.id % 100 = 0
+        ), close AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+        )
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank,
+               id AS negative_id, positive_score, score AS negative_score
+        FROM close JOIN scores USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
     "op13_phrase_collocations": """
         WITH pieces AS (
             SELECT coalesce(lang, 'und') AS lang,

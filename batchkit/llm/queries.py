@@ -12,6 +12,7 @@ from batchkit.llm import (
     exact_dedup,
     extract,
     fingerprints,
+    negatives,
     packing,
     phrases,
     quality,
@@ -100,6 +101,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label of every seventh vector is a wrong one first."""
+    vectors = load(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(vectors.withColumn("label", wrong))
+
+
 def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_edits(load(spark, sf_dir, "documents"))
 
@@ -121,6 +129,7 @@ QUERIES = {
         op8_html_extraction,
         op9_best_fit_packing,
         op10_warc,
+        op11_hard_negatives,
         op12_document_fingerprints,
         op13_phrase_collocations,
     )
