@@ -289,37 +289,48 @@ def phrase_counts(
 
     ``suffixes`` is a written table of ``local_suffixes``. Parcels of one bucket, which hold all rows of
     their leading words, meet in one task, and ``equal_groups`` counts them. A bucket of more than
-    ``rows_per_task`` rows is dealt out anew by the first two words of its rows, a part of it that is
-    still too large by three, and so on. The counts of the words that no longer meet are added up on the way.
+    ``rows_per_task`` rows is dealt out anew by the first two words of its rows, after equal ones of some
+    parcels are combined, a part of it that is still too large by three, and so on. The counts of the words that no longer meet are added up on the way.
     """
     keys = ["lang", "bucket"]
     ready, found, left = [], [], suffixes.select("lang", "bucket", "rows", "packed", F.lit(0).alias("level"))
     for level in range(1, depth):
         sizes = left.groupBy(*keys).agg(F.sum("rows").alias("_all"))
         hot = sizes.filter(F.col("_all") > rows_per_task)
-        hot = stage.put(hot.withColumn("_parts", F.ceil(8 * F.col("_all") / rows_per_task)), f"crowded-{level}")
-        if hot.isEmpty():
+        hot = hot.withColumn("_groups", F.ceil(F.col("_all") / rows_per_task))
+        hot = stage.put(hot, f"crowded-{level}")
+        groups = hot.agg(F.sum("_groups")).first()[0]
+        if not groups:
             break
-        crowded = left.join(hot, keys).select("lang", "bucket", "rows", "packed", "_parts")
+        crowded = left.join(hot, keys)
         ready.append(left.join(hot, keys, "left_anti"))
 
         def deal(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+            held: dict[tuple[str, int, int], tuple[Words, list]] = {}
             for batch in batches:
-                made = []
                 for lang, bucket, rows, packed, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                    words = Words()
-                    lines, counts = unpack(packed, rows, depth, words)
-                    spelled = list(words), words.hashes()
-                    for part, n, data in parcels(lang, list(lines.T), counts, *spelled, level + 1, parts):
-                        made.append((lang, (bucket * 1_000_003 + part) % (1 << 61), n, data))
-                columns = zip(*made, strict=True) if made else ((), (), (), ())
+                    words, some = held.setdefault((lang, bucket, parts), (Words(), []))
+                    some.append(unpack(packed, rows, depth, words))
+            for (lang, bucket, parts), (words, some) in held.items():
+                columns = list(np.concatenate([lines for lines, _ in some]).T)
+                weights = np.concatenate([counts for _, counts in some])
+                some.clear()
+                merged = [(r, w) for _, r, w, whole in equal_groups(columns, weights, 1) if whole]
+                at, counts = (np.concatenate(x) for x in zip(*merged, strict=True))
+                columns = [c[at] for c in columns]
+                spelled = list(words), words.hashes()
+                made = [
+                    (lang, (bucket * 1_000_003 + part) % (1 << 61), n, data)
+                    for part, n, data in parcels(lang, columns, counts, *spelled, level + 1, parts)
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, PARCEL_TYPES, strict=False)], PARCEL_NAMES[:4]
+                    [pa.array(c, t) for c, t in zip(zip(*made, strict=True), PARCEL_TYPES, strict=False)],
+                    PARCEL_NAMES[:4],
                 )
 
         def add(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for lang, _, rows, packed, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for lang, rows, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     words = Words()
                     lines, counts = unpack(packed, rows, depth, words)
                     lines = lines[:, :level]
@@ -329,9 +340,14 @@ def phrase_counts(
                         new = np.flatnonzero(np.append(True, (lines[1:] != lines[:-1]).any(axis=1)))
                         yield _spelled(list(words), lines[new], lang, np.add.reduceat(counts, new), depth)
 
-        dealt = crowded.mapInArrow(deal, ", ".join(PARCELS.split(", ")[:4]))
+        # parcels of a bucket meet in groups of bounded size, so that those dealt out anew are not tiny
+        group = F.pmod(F.xxhash64("packed"), F.col("_groups"))
+        gathered = crowded.withColumn("_group", group).repartition(groups, *keys, "_group")
+        dealt = gathered.select("lang", "bucket", "rows", "packed", 4 * F.col("_groups")).mapInArrow(
+            deal, ", ".join(PARCELS.split(", ")[:4])
+        )
         left = stage.put(dealt.withColumn("level", F.lit(level)), f"dealt-{level}")
-        summed = crowded.mapInArrow(add, PHRASES).groupBy("lang", "words").agg(F.sum("f").alias("f"))
+        summed = crowded.select("lang", "rows", "packed").mapInArrow(add, PHRASES).groupBy("lang", "words").agg(F.sum("f").alias("f"))
         found.append(summed.filter(F.col("f") >= least))
     ready.append(left)
     routed = ready[0]
@@ -377,6 +393,7 @@ def mine(
     text_col: str = "text",
     lang_col: str = "lang",
     rows_per_task: int = 600_000,
+    buckets: int = 256,
     stage: Stage | None = None,
 ) -> DataFrame:
     """The most cohesive phrases of every language: ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
@@ -389,15 +406,13 @@ def mine(
     (both descending) and phrase (by its bytes). ``n`` is the number of words of the language.
 
     Suffixes are sorted and combined in each task (``local_suffixes``), then routed by leading words
-    and counted (``phrase_counts``), about ``rows_per_task`` in a task. Products are decimals of 38 digits, exact up to counts of 14.
+    and counted (``phrase_counts``), about ``rows_per_task`` in a task. ``buckets`` says how far a language is
+    dealt out at once; buckets that are too large for a task are dealt out further. Products are decimals of 38 digits, exact up to counts of 14.
     Null languages are ``und``, null texts empty; a very long text is one window of its own. Repeated
     rows count each time, an empty table or one without frequent phrases gives no rows, other columns
     are not read.
     """
     stage = stage or Stage(docs.sparkSession)
-    octets = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    # six bytes a word or so: several buckets for each task that counts
-    buckets = max(256, 4 * octets // (6 * rows_per_task))
     suffixes = stage.put(
         local_suffixes(docs, longest, window, buckets, text_col, lang_col), "suffixes"
     )
