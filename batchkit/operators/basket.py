@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from batchkit.operators import rank
 from batchkit.operators.staging import Stage
@@ -27,8 +27,8 @@ def basket_items(df: DataFrame, basket: str, product: str) -> DataFrame:
 def baskets(df: DataFrame, basket: str, product: str) -> DataFrame:
     """The sorted distinct products of each basket as one array.
 
-    The array is the result here, so a basket must fit into one row; counting pairs does not
-    go through it.
+    The array is the result here, so a basket must fit into one row; ``basket_chunks`` has no such
+    limit, and counting pairs does not go through an array.
     """
     return (
         df.filter(F.col(basket).isNotNull() & F.col(product).isNotNull())
@@ -37,6 +37,48 @@ def baskets(df: DataFrame, basket: str, product: str) -> DataFrame:
     )
 
 
+def _in_ranges(items: DataFrame, rows_per_range: int, stage: Stage) -> DataFrame:
+    """The items in order of basket and product, cut into ranges (``_range``) of about equal size.
+
+    A written table: the borders of the ranges come from a sample and are settled by writing. A basket
+    with very many products lies in several ranges.
+    """
+    ranges = max(1, -(-items.count() // rows_per_range))
+    ranged = items.repartitionByRange(ranges, "basket", "product")
+    return stage.put(ranged.withColumn("_range", F.spark_partition_id()), "ranged")
+
+
+def basket_chunks(
+    df: DataFrame, basket: str, product: str, size: int = 1000, rows_per_range: int = 100_000
+) -> DataFrame:
+    """The sorted distinct products of each basket in chunks: ``basket``, ``part``, ``products``.
+
+    Part 0 holds the first ``size`` products, part 1 the next, and so on, so the parts of a basket in
+    order are what ``baskets`` returns as one array. No task holds a whole large basket: its products
+    are numbered range by range, each range counting on from the sum of those before it, and met
+    again chunk by chunk. Where the ranges are cut does not show in the result. Rows without a basket or
+    product are left out, copies count once. Items and ranges are written, by jobs that run at once.
+    """
+    with Stage(df.sparkSession) as stage:
+        items = stage.put(basket_items(df, basket, product).select("basket", "product"), "items")
+        ranged = _in_ranges(items, rows_per_range, stage)
+        counts = ranged.groupBy("basket", "_range").agg(F.count(F.lit(1)).alias("_n"))
+        earlier = Window.partitionBy("basket").orderBy("_range").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        # only ranges that do not begin their basket: few, as a range holds many baskets or part of one
+        before = counts.withColumn("_before", F.sum("_n").over(earlier)).filter("_before > 0")
+        before = stage.put(before.drop("_n"), "before")
+        stage.close("ranged", "before")
+    inside = F.row_number().over(Window.partitionBy("basket", "_range").orderBy("product"))
+    numbered = ranged.withColumn("_place", inside).join(before, ["basket", "_range"], "left")
+    place = F.col("_place") - 1 + F.coalesce("_before", F.lit(0))
+    return (
+        numbered.groupBy("basket", F.floor(place / size).cast("int").alias("part"))
+        .agg(F.sort_array(F.collect_list("product")).alias("products"))
+    )
+
+
 def _cells(items: DataFrame, block: int, stage: Stage, name: str) -> DataFrame:
     """Deal the items of large baskets to cells of bounded size; ``items`` is a written table.
 
@@ -95,9 +137,9 @@ def pair_counts(
     numbers of copies, and a product bought c times pairs c(c-1)/2 times with itself.
     The items and the sizes of large baskets are written, by jobs that run at once.
     """
-    stage = Stage(df.sparkSession)
-    items = stage.put(basket_items(df, basket, product), "items")
-    return _pair_counts(items, distinct, block, stage, "all")
+    with Stage(df.sparkSession) as stage:
+        items = stage.put(basket_items(df, basket, product), "items")
+        return _pair_counts(items, distinct, block, stage, "all")
 
 
 def _pair_counts(
@@ -138,19 +180,20 @@ def top_pairs(
     that bound cannot be part of the answer. The bound only saves work: with or without
     it the result is the same.
     """
-    stage = Stage(df.sparkSession)
-    # read several times below, so written once
-    items = stage.put(basket_items(df, basket, product).select("basket", "product"), "items")
-    support = stage.put(
-        items.groupBy("product").agg(F.count(F.lit(1)).alias("_baskets")), "support"
-    )
-    leaders = rank.top_k(support, [F.desc("_baskets"), F.col("product")], head).select("product")
-    among = stage.put(items.join(leaders, "product", "left_semi"), "among")
-    best = rank.top_k(
-        _pair_counts(among, True, block, stage, "among").select("n"), [F.desc("n")], k
-    )
-    bound = best.agg(F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(0)).first()[0]
-    frequent = support.filter(F.col("_baskets") >= bound).select("product")
-    kept = stage.put(items.join(frequent, "product", "left_semi"), "kept")
-    counted = _pair_counts(kept, True, block, stage, "kept")
-    return rank.top_k(counted, [F.desc("n"), F.desc("product_a"), F.desc("product_b")], k)
+    with Stage(df.sparkSession) as stage:
+        # read several times below, so written once
+        items = stage.put(basket_items(df, basket, product).select("basket", "product"), "items")
+        support = stage.put(
+            items.groupBy("product").agg(F.count(F.lit(1)).alias("_baskets")), "support"
+        )
+        leaders = rank.top_k(support, [F.desc("_baskets"), F.col("product")], head).select("product")
+        among = stage.put(items.join(leaders, "product", "left_semi"), "among")
+        best = rank.top_k(
+            _pair_counts(among, True, block, stage, "among").select("n"), [F.desc("n")], k
+        )
+        bound = best.agg(F.when(F.count(F.lit(1)) == k, F.min("n")).otherwise(0)).first()[0]
+        frequent = support.filter(F.col("_baskets") >= bound).select("product")
+        kept = stage.put(items.join(frequent, "product", "left_semi"), "kept")
+        counted = _pair_counts(kept, True, block, stage, "kept")
+        stage.close("kept", "large-kept")
+        return rank.top_k(counted, [F.desc("n"), F.desc("product_a"), F.desc("product_b")], k)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, HashingTF, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, IDFModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from batchkit.functions.text import STOP_WORDS
@@ -71,6 +71,30 @@ def encode(
     return made.drop(*texts)
 
 
+def fit_weights(train: DataFrame, texts: dict[str, int]) -> list[IDFModel]:
+    """Inverse document frequencies of the hashed words of each text, over encoded training rows."""
+    return [
+        IDF(inputCol=f"{t}_counts", outputCol=f"{t}_weights").fit(train.select(f"{t}_counts"))
+        for t in texts
+    ]
+
+
+def weight_rows(train: DataFrame, texts: dict[str, int]) -> DataFrame:
+    """``text``, ``place``, ``documents`` and ``weight`` of every place that a word is hashed to.
+
+    The weight is ln((n + 1) / (documents + 1)) with n rows in all. A text has as many places as ``texts``
+    says, so the rows are bounded by that, whatever the input.
+    """
+    rows = [
+        (t, place, int(n), float(weight))
+        for t, model in zip(texts, fit_weights(train, texts), strict=True)
+        for place, (n, weight) in enumerate(zip(model.docFreq, model.idf.toArray(), strict=True))
+    ]
+    return train.sparkSession.createDataFrame(
+        rows, "text string, place int, documents long, weight double"
+    )
+
+
 def fit_predict(
     df: DataFrame,
     texts: dict[str, int],
@@ -92,10 +116,7 @@ def fit_predict(
     stage = Stage(df.sparkSession)
     encoded = stage.put(encode(df, texts, [key, label], numeric), "encoded")
     train, test = split(encoded, key)
-    weights = [
-        IDF(inputCol=f"{t}_counts", outputCol=f"{t}_weights").fit(train.select(f"{t}_counts"))
-        for t in texts
-    ]
+    weights = fit_weights(train, texts)
     inputs = [*numeric, *(f"{t}_{part}" for t in texts for part in ("length", "weights"))]
     features = PipelineModel([*weights, VectorAssembler(inputCols=inputs, outputCol="features")])
     regression = LogisticRegression(
@@ -104,6 +125,7 @@ def fit_predict(
     path = stage.path("regression")
     regression.write().save(path)
     model = PipelineModel([*features.stages, LogisticRegressionModel.load(path)])
+    stage.remove("regression")
     return model, model.transform(test)
 
 

@@ -49,9 +49,10 @@ def _ids(g: Graph) -> DataFrame:
 
 @dataclass(frozen=True)
 class Routes:
-    """Merged edges ``(src, dst, edges)`` between known vertices, as a written table."""
+    """Merged edges ``(src, dst, edges)`` between known vertices, as a written table of ``stage``."""
 
     steps: DataFrame
+    stage: Stage
 
 
 def merge_routes(g: Graph) -> Routes:
@@ -61,7 +62,11 @@ def merge_routes(g: Graph) -> Routes:
     to several measures of the same graph. Both sides of those joins are written tables, with which
     Spark splits the edges of a vertex that has very many.
     """
-    stage = Stage(g.edges.sparkSession)
+    with Stage(g.edges.sparkSession) as stage:
+        return _merge(g, stage)
+
+
+def _merge(g: Graph, stage: Stage) -> Routes:
     merged = stage.put(
         g.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges")), "merged"
     )
@@ -70,8 +75,8 @@ def merge_routes(g: Graph) -> Routes:
     for end in ("src", "dst"):
         known = known.join(ids.toDF(end), end, "left_semi")
     steps = stage.put(known, "routes")
-    stage.remove("merged", "ids")
-    return Routes(steps)
+    stage.close("routes")
+    return Routes(steps, stage)
 
 
 def _not_seen(column: str, anchor: str, hop: int) -> Column:
@@ -163,31 +168,65 @@ def count_motif(
     return per_vertex.join(into, last).agg(F.coalesce(total, nothing).alias("matches"))
 
 
+BITS = 64  # landmarks of one number
+
+
 def distances_to(g: Graph, landmarks: list[str], routes: Routes | None = None) -> DataFrame:
     """Hops from every vertex to each landmark it can reach: ``id``, ``landmark``, ``hop``.
 
-    Breadth-first from the landmarks against the direction of the edges. Each round
-    joins only the newest vertices, and is written as one partition ``hop=k`` of a table.
+    Breadth-first from all landmarks at once, against the direction of the edges. The newest vertices
+    have one row each, with a set of bits that says from which landmarks they were just reached, so a
+    round joins each edge once however many landmarks there are. What is new in a round is written as
+    one partition ``hop=k`` of a table; the bits are read as rows at the end. A landmark that is no
+    vertex is reached from nowhere.
     """
-    stage = Stage(g.edges.sparkSession)
-    routes = routes or merge_routes(g)
-    steps = routes.steps.select("src", F.col("dst").alias("id"))
-    start = _ids(g).filter(F.col("id").isin(list(landmarks)))
-    newest = stage.put(start.select("id", F.col("id").alias("landmark")), "reached/hop=0")
-    hop = 0
-    while not newest.isEmpty():
-        reached = _reached(stage)
-        found = steps.join(newest, "id").select(F.col("src").alias("id"), "landmark")
-        fresh = found.distinct().join(reached, ["id", "landmark"], "left_anti")
-        hop += 1
-        newest = stage.put(fresh, f"reached/hop={hop}")
-    return _reached(stage)
-
-
-def _reached(stage: Stage) -> DataFrame:
-    return stage.spark.read.schema("id string, landmark string, hop int").parquet(
-        stage.path("reached")
+    marks = list(dict.fromkeys(landmarks))
+    names = [f"bits{w}" for w in range(-(-len(marks) // BITS) or 1)]
+    with Stage(g.edges.sparkSession) as stage:
+        own_routes = None if routes else merge_routes(g)
+        steps = (routes or own_routes).steps.select("src", F.col("dst").alias("id"))
+        place = F.array_position(F.array(*map(F.lit, marks)), F.col("id")) - 1 if marks else F.lit(0)
+        own = [
+            F.when(F.floor(place / BITS) == w, F.expr("shiftleft(1L, CAST(_place % 64 AS INT))"))
+            .otherwise(F.lit(0).cast("long"))
+            .alias(name)
+            for w, name in enumerate(names)
+        ]
+        start = _ids(g).filter(F.col("id").isin(marks)).withColumn("_place", place)
+        newest = stage.put(start.select("id", *own), "reached/hop=0")
+        hop = 0
+        while not newest.isEmpty():
+            seen = _reached(stage, names).groupBy("id").agg(*[F.bit_or(n).alias(f"_{n}") for n in names])
+            found = (
+                steps.join(newest, "id")
+                .groupBy(F.col("src").alias("id"))
+                .agg(*[F.bit_or(n).alias(n) for n in names])
+                .join(seen, "id", "left")
+            )
+            new = [
+                F.col(n).bitwiseAND(F.bitwise_not(F.coalesce(f"_{n}", F.lit(0).cast("long")))).alias(n)
+                for n in names
+            ]
+            fresh = found.select("id", *new).filter(" OR ".join(f"{n} <> 0" for n in names))
+            hop += 1
+            newest = stage.put(fresh, f"reached/hop={hop}")
+        stage.close("reached")
+        if own_routes:
+            own_routes.stage.remove()
+    which = F.array(
+        *[
+            F.when(F.getbit(names[i // BITS], F.lit(i % BITS)) == 1, F.lit(mark))
+            for i, mark in enumerate(marks)
+        ]
     )
+    return _reached(stage, names).select(
+        "id", F.explode(F.array_compact(which.cast("array<string>"))).alias("landmark"), "hop"
+    )
+
+
+def _reached(stage: Stage, names: list[str]) -> DataFrame:
+    bits = ", ".join(f"{n} long" for n in names)
+    return stage.spark.read.schema(f"id string, {bits}, hop int").parquet(stage.path("reached"))
 
 
 def distance_map(distances: DataFrame) -> DataFrame:
@@ -212,28 +251,67 @@ def farthest(
 def connected_components(g: Graph) -> DataFrame:
     """The smallest vertex id of each vertex's component, edges taken as undirected.
 
-    Alternates the large-star and small-star steps of Kiveris et al., "Connected Components
-    in MapReduce and Beyond" (2014), until every vertex hangs on the smallest id around it, however
-    many rounds that takes. Runs jobs at once; tables of earlier rounds are removed.
+    First vertices with a single neighbour are peeled off: the neighbour keeps the smallest id of those
+    that hung on it, and they are put back at the end. Of two vertices that have only each other the
+    larger hangs on the smaller. What is left alternates the large-star and small-star steps of
+    Kiveris et al., "Connected Components in MapReduce and Beyond" (2014), until every vertex hangs
+    on the smallest id around it, however many rounds that takes. Runs jobs at once; tables of earlier
+    rounds are removed.
     """
-    stage = Stage(g.edges.sparkSession)
-    ids = stage.put(_ids(g), "ids")
-    links = g.edges.filter("src <> dst").select(
-        F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")
+    with Stage(g.edges.sparkSession) as stage:
+        ids = stage.put(_ids(g), "ids")
+        links = g.edges.filter("src <> dst").select(
+            F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")
+        )
+        for end in ("a", "b"):
+            links = links.join(ids.toDF(end), end, "left_semi")
+        links = stage.put(links.select("a", "b").distinct(), "links-all")
+        hung, links = _peel(links, stage)
+        turn = 0
+        while not _settled(links):
+            large = _large_star(links, stage, turn)
+            links = stage.put(_small_star(large, stage, turn), f"links-{turn + 1}")
+            stage.remove(*(f"{name}-{turn}" for name in ("links", "below", "large", "lowest")))
+            turn += 1
+        # every vertex of what is left, and what hung on it, with the vertex in its centre
+        centres = links.select(F.col("a").alias("id"), F.col("b").alias("_centre"))
+        stems = hung.groupBy(F.col("on").alias("id")).agg(F.min("id").alias("_low"))
+        stems = stems.join(centres, "id", "left").select(
+            "id", F.coalesce("_centre", "id").alias("_centre"), "_low"
+        )
+        stems = stage.put(stems, "stems")
+        # a peeled vertex may be the smallest of a component: the centre's name changes to it then
+        renamed = stems.groupBy("_centre").agg(F.min("_low").alias("_low"))
+        renamed = stage.put(renamed.filter("_low < _centre"), "renamed")
+        leaves = hung.join(stems.select(F.col("id").alias("on"), "_centre"), "on").select("id", "_centre")
+        placed = stage.put(centres.union(leaves), "placed")
+        stage.close("ids", "placed", "renamed")
+    named = ids.join(placed, "id", "left").withColumn("_centre", F.coalesce("_centre", "id"))
+    return named.join(renamed, "_centre", "left").select(
+        "id", F.coalesce("_low", "_centre").alias("component")
     )
-    for end in ("a", "b"):
-        links = links.join(ids.toDF(end), end, "left_semi")
-    links = stage.put(links.select("a", "b").distinct(), "links-0")
-    turn = 0
-    while not _settled(links):
-        large = _large_star(links, stage, turn)
-        links = stage.put(_small_star(large, stage, turn), f"links-{turn + 1}")
-        stage.remove(*(f"{name}-{turn}" for name in ("links", "below", "large", "lowest")))
-        turn += 1
-    centre = links.select(F.col("a").alias("id"), F.col("b").alias("_centre"))
-    return ids.join(centre, "id", "left").select(
-        "id", F.coalesce("_centre", "id").alias("component")
+
+
+def _peel(links: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """``id`` and ``on`` of every vertex with one neighbour ``on``, and the links between the others.
+
+    Of two vertices that are each other's only neighbour just the larger is peeled.
+    """
+    ends = links.select(F.explode(F.array("a", "b")).alias("id"))
+    single = ends.groupBy("id").agg(F.count(F.lit(1)).alias("_n")).filter("_n = 1").select("id")
+    single = stage.put(single, "single")
+    marked = links.join(single.select(F.col("id").alias("a"), F.lit(1).alias("_a")), "a", "left")
+    marked = marked.join(single.select(F.col("id").alias("b"), F.lit(1).alias("_b")), "b", "left")
+    marked = stage.put(marked, "marked")
+    larger = F.col("_a") == 1
+    hung = marked.filter("_a = 1 OR _b = 1").select(
+        F.when(larger, F.col("a")).otherwise(F.col("b")).alias("id"),
+        F.when(larger, F.col("b")).otherwise(F.col("a")).alias("on"),
     )
+    rest = marked.filter("_a IS NULL AND _b IS NULL").select("a", "b")
+    hung, rest = stage.put(hung, "hung"), stage.put(rest, "links-0")
+    stage.remove("links-all", "single", "marked")
+    return hung, rest
 
 
 def _settled(links: DataFrame) -> bool:

@@ -7,38 +7,78 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_ROOTS: dict[str, list[str]] = {}  # folders made by the session of an application, until removed
+
+
+def _local_only(spark: SparkSession, root: str) -> bool:
+    """Whether a path without a scheme, or with ``file:``, is on the disk of each machine."""
+    scheme = root.split(":/", 1)[0] if ":/" in root else None
+    if scheme is None:
+        context = spark.sparkContext
+        default = context._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(
+            context._jsc.hadoopConfiguration()
+        )
+        scheme = default.getScheme()
+    return scheme in (None, "file")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
-    A session without the setting uses a folder in its warehouse, which all executors share too.
-    A path without a scheme is taken on the default file system; where that is the local disk of
-    each machine, only a master of ``local`` or ``local[...]`` may use it. A cluster whose nodes
-    mount one file system says so with ``file:``.
+    A session without the setting uses a folder in its warehouse, if that is on a file system which
+    all executors share: a warehouse on local disks (``file:``, Spark's default) is refused unless the master
+    is ``local`` or ``local[...]``. So is a setting without a scheme where the default file system is
+    the local disk. A cluster whose nodes mount one file system says so with ``file:`` in the setting.
     """
+    master = spark.sparkContext.master
+    local = master == "local" or master.startswith("local[")
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    refused = bool(root) and ":/" not in root
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
-    master = spark.sparkContext.master
-    if ":/" not in root and not (master == "local" or master.startswith("local[")):
-        context = spark.sparkContext
-        default = context._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(
-            context._jsc.hadoopConfiguration()
-        )
-        if default.getScheme() in (None, "file"):
-            raise ValueError(f"spark.checkpoint.dir needs a folder all executors share, not {root}")
+        refused = True
+    if refused and not local and _local_only(spark, root):
+        raise ValueError(f"spark.checkpoint.dir needs a folder all executors share, not {root}")
     return root
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def remove_all(spark: SparkSession) -> None:
+    """Delete every folder that stages of this session still hold.
+
+    To be called when no result is needed any more that was made by a function which writes stages.
+    """
+    for root in _ROOTS.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, root)
+
+
 class Stage:
     """A folder of written tables for one iterative job.
 
     A written table cuts the lineage and survives the loss of executors. Unlike a checkpoint
     it is columnar and has a known size, so Spark can choose the join by it.
+
+    ``close`` removes the tables that the result does not read. As a context manager, a stage is removed
+    as a whole if its job fails.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{checkpoint_root(spark).rstrip('/')}/batchkit-{uuid.uuid4().hex}"
+        self.names: list[str] = []
+        _ROOTS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
+
+    def __enter__(self) -> Stage:
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is not None:
+            self.remove()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -50,11 +90,25 @@ class Stage:
         cheap: the row count is in the footers of the files.
         """
         df.write.mode("overwrite").parquet(self.path(name))
+        if name not in self.names:
+            self.names.append(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def remove(self, *names: str) -> None:
         """Delete tables that nothing reads any more; without names the whole folder."""
-        context = self.spark.sparkContext
         for path in [self.path(n) for n in names] or [self.root]:
-            where = context._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+            _delete(self.spark, path)
+        self.names = [n for n in self.names if names and n not in names]
+        if not names:
+            roots = _ROOTS.get(self.spark.sparkContext.applicationId, [])
+            if self.root in roots:
+                roots.remove(self.root)
+
+    def close(self, *result: str) -> None:
+        """Delete all tables but those of the ``result``; the whole folder if there are none."""
+        kept = [n for n in self.names if n in result or n.split("/")[0] in result]
+        others = [n for n in self.names if n not in kept]
+        if not kept:
+            self.remove()
+        elif others:
+            self.remove(*others)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from batchkit.functions import text as tx
+from batchkit.operators.staging import Stage
 
 
 def _count(words: DataFrame) -> DataFrame:
@@ -47,7 +48,8 @@ def prefix_word_counts(
 
     Lines are lower-cased, the prefix is not: an upper-case prefix selects nothing. A word
     without letters counts as the empty word unless ``drop_empty`` is set. With an
-    ``observation`` the totals of ``prefix_counters`` are collected by the same pass.
+    ``observation`` the totals of ``prefix_counters`` are collected by the same pass; a task that runs twice
+    may count twice in them (``prefix_words_and_totals`` counts once).
     """
     body = _stripped(lines, column)
     if observation is not None:
@@ -73,6 +75,44 @@ def prefix_counters(lines: DataFrame, prefix: str, column: str = "line") -> Data
     return _stripped(lines, column).agg(*_counters(prefix))
 
 
+def prefix_words_and_totals(
+    lines: DataFrame, prefix: str, drop_empty: bool = False, column: str = "line"
+) -> tuple[DataFrame, DataFrame]:
+    """``prefix_word_counts`` and ``prefix_counters`` of one pass over the lines, both exact.
+
+    Each line hands on its words and its number of words, marked by kind, and one aggregate combines
+    all of them: in each task before the shuffle, then by kind and word. What a task that failed had
+    counted is not in the shuffle, so a task that runs twice counts once. The result is written by a job
+    that runs at once, each task committing its words and its share of the totals together; both
+    tables are read from the committed files.
+    """
+    body = _stripped(lines, column)
+    chosen = F.col("body").startswith(prefix)
+    size = F.size(F.split("body", r"\s+")).cast("bigint")
+
+    def row(kind, word, n):
+        return F.struct(kind.alias("kind"), word.alias("word"), n.cast("bigint").alias("n"))
+
+    one = F.lit(1)
+    words = F.transform(tx.clean_tokens(F.col("body")), lambda w: row(F.lit("word"), w, one))
+    kind = F.when(chosen, "selected").otherwise("unselected")
+    total = F.array(row(kind, F.lit(None).cast("string"), size))
+    rows = body.select(
+        F.explode(F.when(chosen, F.concat(words, total)).otherwise(total)).alias("_row")
+    ).select("_row.*")
+    with Stage(lines.sparkSession) as stage:
+        counted = stage.put(rows.groupBy("kind", "word").agg(F.sum("n").alias("n")), "counted")
+    counts = counted.filter("kind = 'word'").select("word", "n")
+    zero = F.lit(0).cast("bigint")
+    totals = counted.filter("kind <> 'word'").agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), zero).alias(f"{k}_words")
+            for k in ("selected", "unselected")
+        ]
+    )
+    return counts.filter("word <> ''") if drop_empty else counts, totals
+
+
 def near_max(
     counts: DataFrame, prefix: str, fraction: float = 0.8, word: str = "word", freq: str = "n"
 ) -> DataFrame:

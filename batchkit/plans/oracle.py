@@ -192,6 +192,23 @@ ORACLE: dict[str, str] = {
         SELECT station, date_trunc('second', ts) AS timestamp, used AS used_slots,
                free::BIGINT AS free_slots
         FROM readings""",
+    "inferred_stations": """
+        SELECT c_nationkey::INT AS latitude, count(*) AS stations, min(c_acctbal) AS west,
+               max(c_acctbal) AS east, max(c_custkey)::INT AS last_id
+        FROM customer WHERE c_acctbal > 0 GROUP BY 1""",
+    "single_file_lines": """
+        SELECT p_partkey || ';' || p_brand || ';' || p_size AS line, 1::BIGINT AS files FROM part""",
+    "order_index_pairs": """
+        WITH items AS (SELECT DISTINCT l_orderkey AS basket, l_partkey AS p FROM lineitem)
+        SELECT x.basket, x.p AS product_a, y.p AS product_b
+        FROM items x JOIN items y ON x.basket = y.basket AND x.p < y.p""",
+    "user_product_chunks": f"""
+        WITH {_PURCHASES}, items AS (
+            SELECT o_custkey AS basket, l_partkey AS p,
+                   (row_number() OVER (PARTITION BY o_custkey ORDER BY l_partkey) - 1) // 20 AS part
+            FROM (SELECT DISTINCT o_custkey, l_partkey FROM purchases))
+        SELECT basket, part::INT AS part, string_agg(p::VARCHAR, ',' ORDER BY p) AS products
+        FROM items GROUP BY basket, part""",
     "user_product_lists": """
         SELECT l_orderkey AS basket, string_agg(p::VARCHAR, ',' ORDER BY p) AS products
         FROM (SELECT DISTINCT l_orderkey, l_partkey AS p FROM lineitem) GROUP BY 1""",
@@ -243,8 +260,13 @@ ORACLE: dict[str, str] = {
         WHERE p_brand = 'Brand#2' AND year(l_shipdate) BETWEEN 1997 AND 1999 GROUP BY 1, 2""",
     "zero_filled_year_counts": f"WITH {_VIEWS} SELECT * FROM counts",
     "min_max_year_select": f"""
-        WITH {_VIEWS}
-        SELECT * FROM counts WHERE views_1998 = (SELECT min(views_1998) FROM counts)
+        WITH views AS (
+            SELECT o_orderpriority AS CID, year(l_shipdate) AS y
+            FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey),
+        counts AS (
+            SELECT CID, count(*) FILTER (y = 1996) AS views_1996, count(*) FILTER (y = 1999) AS views_1999
+            FROM views GROUP BY CID)
+        SELECT * FROM counts WHERE views_1996 = (SELECT min(views_1996) FROM counts)
                                AND views_1999 = (SELECT max(views_1999) FROM counts)""",
     "exceeding_organizers": f"""
         WITH {_POTENTIAL}
@@ -311,6 +333,56 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, score, length(text) AS text_length, len(t) AS text_words,
                length(source) AS summary_length, len(s) AS summary_words
         FROM words""",
+    "classifier_weights": f"""
+        WITH {_LABELLED}, training AS (
+            SELECT doc_id, t, s FROM words
+            WHERE ('0x' || substr(md5(doc_id::VARCHAR || ':10'), 1, 8))::UBIGINT < 0.75 * 4294967296),
+        used AS (
+            SELECT doc_id, 'text' AS text, 1000 AS size, unnest(t) AS word FROM training
+            UNION ALL
+            SELECT doc_id, 'summary', 500, unnest(s) FROM training),
+        -- MurmurHash3, 32 bits, seed 42, of the UTF-8 bytes of each word
+        bytes AS (
+            SELECT word, octet_length(encode(word)) AS n,
+                   list_transform(range(0, octet_length(encode(word))), lambda i:
+                       ('0x' || substr(hex(encode(word)), 2 * i::INT + 1, 2))::UBIGINT) AS b
+            FROM (SELECT DISTINCT word FROM used)),
+        blocks AS (
+            SELECT word, n, list_transform(range(0, n // 4), lambda i:
+                       b[4 * i + 1] + 256 * b[4 * i + 2] + 65536 * b[4 * i + 3] + 16777216 * b[4 * i + 4]) AS k,
+                   (CASE WHEN n % 4 > 0 THEN b[4 * (n // 4) + 1] ELSE 0 END
+                    + 256 * CASE WHEN n % 4 > 1 THEN b[4 * (n // 4) + 2] ELSE 0 END
+                    + 65536 * CASE WHEN n % 4 > 2 THEN b[4 * (n // 4) + 3] ELSE 0 END)::UBIGINT AS rest
+            FROM bytes),
+        multiplied AS (
+            SELECT word, n, list_transform(list_append(k, rest), lambda x:
+                       (x::UBIGINT * 3432918353) % 4294967296) AS k FROM blocks),
+        turned AS (
+            SELECT word, n, list_transform(k, lambda x:
+                       (((x * 32768) % 4294967296 + x // 131072) * 461845907) % 4294967296) AS k
+            FROM multiplied),
+        mixed AS (
+            SELECT word, n, k[len(k)] AS rest, list_reduce(list_prepend(42::UBIGINT, k[:len(k) - 1]), lambda h, x:
+                       ((((xor(h, x) * 8192) % 4294967296 + xor(h, x) // 524288) * 5) + 3864292196)
+                       % 4294967296) AS h
+            FROM turned),
+        first AS (SELECT word, xor(xor(h, rest), n::UBIGINT) AS h FROM mixed),
+        second AS (SELECT word, (xor(h, h // 65536) * 2246822507) % 4294967296 AS h FROM first),
+        third AS (SELECT word, (xor(h, h // 8192) * 3266489909) % 4294967296 AS h FROM second),
+        hashed AS (
+            SELECT word, xor(h, h // 65536)::BIGINT - CASE WHEN xor(h, h // 65536) >= 2147483648
+                                                        THEN 4294967296 ELSE 0 END AS h
+            FROM third),
+        places AS (
+            SELECT text, ((h % size) + size) % size AS place, count(DISTINCT doc_id) AS documents
+            FROM used JOIN hashed USING (word) GROUP BY 1, 2),
+        every AS (
+            SELECT 'text' AS text, unnest(range(0, 1000)) AS place
+            UNION ALL
+            SELECT 'summary', unnest(range(0, 500)))
+        SELECT text, place::INT AS place, coalesce(documents, 0) AS documents,
+               round(ln(((SELECT count(*) FROM training) + 1.0) / (coalesce(documents, 0) + 1)), 6) AS weight
+        FROM every LEFT JOIN places USING (text, place)""",
     "classification_metrics": f"""
         WITH {_CELLS}, parts AS (
             SELECT n, a, d, (a + b) / n AS w1, (c + d) / n AS w0,

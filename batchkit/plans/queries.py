@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from batchkit import sources
+from batchkit.functions import arrays
 from batchkit.operators import basket, classify, cohorts, graph, occupancy, rank, ratings, text
 from batchkit.operators.staging import Stage
 from batchkit.plans import tables
@@ -57,10 +58,9 @@ def prefix_near_max(spark, sf_dir):
 @query
 def prefix_words_observed(spark, sf_dir):
     """Counts and totals of one pass: how often each word occurs, and its share of the chosen words."""
-    totals = Observation("chosen")
-    counts = text.prefix_word_counts(tables.lines(spark, sf_dir), "the", observation=totals)
-    counts = Stage(spark).put(counts, "counts")
-    return counts.withColumns({name: F.lit(n) for name, n in totals.get.items()})
+    counts, totals = text.prefix_words_and_totals(tables.lines(spark, sf_dir), "the")
+    chosen, others = (totals.select(name).scalar() for name in totals.columns)
+    return counts.withColumns({"selected_words": chosen, "unselected_words": others})
 
 
 @query
@@ -100,9 +100,51 @@ def parse_register(spark, sf_dir):
     return sources.parse_delimited(body, schema, "\t", timestamp_format=stamp)
 
 
+@query
+def inferred_stations(spark, sf_dir):
+    """Stations written with tabs and a header, read with inferred types, named and asked by SQL."""
+    path = Stage(spark).path("stations")
+    sources.write_csv(tables.stations(spark, sf_dir), path, header=True, sep="\t")
+    stations = sources.read_table(spark, path, sep="\t", infer=True)
+    sources.register(stations, "inferred_stations")
+    return spark.sql(
+        "SELECT latitude, count(*) AS stations, min(longitude) AS west, max(longitude) AS east, "
+        "max(id) AS last_id FROM inferred_stations WHERE longitude > 0 GROUP BY latitude"
+    )
+
+
+@query
+def single_file_lines(spark, sf_dir):
+    """Parts as lines of one file in order of their key, read again with the number of files."""
+    path = Stage(spark).path("parts")
+    parts = tables.load(spark, sf_dir, "part")
+    lines = sources.to_csv_line(parts, ["p_partkey", "p_brand", "p_size"], ";")
+    key = F.split("line", ";")[0].cast("long")
+    sources.write_lines(lines, path, single_file=True, order=[key])
+    files = sources.read_lines(spark, path).select("line", F.input_file_name().alias("_file"))
+    count = files.agg(F.count_distinct("_file").alias("n")).scalar()
+    return files.select("line", count.alias("files"))
+
+
 # baskets
 
 
+@query
+def order_index_pairs(spark, sf_dir):
+    """Pairs at positions i < j of the sorted products of each order, which has a few lines."""
+    lists = basket.baskets(tables.load(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    pairs = lists.select("basket", F.inline(arrays.pairs(F.col("products"))))
+    return pairs.withColumnsRenamed({"first": "product_a", "second": "product_b"})
+
+
+@query
+def user_product_chunks(spark, sf_dir):
+    """Sorted products of each customer in chunks of 20, as one text for each chunk."""
+    chunks = basket.basket_chunks(tables.purchases(spark, sf_dir), "o_custkey", "l_partkey", 20)
+    products = F.array_join(F.col("products").cast("array<string>"), ",")
+    return chunks.select("basket", "part", products.alias("products"))
+
+
 @query
 def user_product_lists(spark, sf_dir):
     """Sorted products of each order, as one text."""
@@ -183,7 +225,9 @@ def zero_filled_year_counts(spark, sf_dir):
 
 @query
 def min_max_year_select(spark, sf_dir):
-    return cohorts.select_extremes(tables.view_counts(spark, sf_dir), "views_1998", "views_1999")
+    return cohorts.select_extremes(
+        tables.priority_view_counts(spark, sf_dir), "views_1996", "views_1999"
+    )
 
 
 @query
@@ -291,6 +335,15 @@ def classifier_features(spark, sf_dir):
     return encoded.select("doc_id", "score", "text_length", "text_words", "summary_length", "summary_words")
 
 
+@query
+def classifier_weights(spark, sf_dir):
+    """Rows and inverse document frequency of every place that words of the training rows are hashed to."""
+    encoded = classify.encode(tables.labelled_documents(spark, sf_dir), TEXTS, ["doc_id"])
+    train, _ = classify.split(encoded, "doc_id")
+    weights = classify.weight_rows(train, TEXTS)
+    return weights.withColumn("weight", F.round("weight", 6))
+
+
 @query
 def text_classifier(spark, sf_dir):
     _, predictions = classify.fit_predict(

@@ -45,15 +45,25 @@ def views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Courses are customers, their lectures the orders."""
+    customers = load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CID"))
+    return _view_counts(spark, sf_dir, customers, "o_custkey", (1998, 1999))
+
+
+def priority_view_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Courses are the priorities of orders, their lectures the orders."""
+    priorities = load(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("CID")).distinct()
+    return _view_counts(spark, sf_dir, priorities, "o_orderpriority", (1996, 1999))
+
+
+def _view_counts(
+    spark: SparkSession, sf_dir: str, courses: DataFrame, course: str, years: tuple[int, ...]
+) -> DataFrame:
     seen = views(spark, sf_dir)
-    return cohorts.zero_filled_counts(
-        load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("CID")),
-        load(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").alias("LID"), F.col("o_custkey").alias("CID")
-        ),
-        seen,
-        {f"views_{y}": cohorts.in_years(seen, "l_shipdate", y, y) for y in (1998, 1999)},
+    lectures = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("LID"), F.col(course).alias("CID")
     )
+    chosen = {f"views_{y}": cohorts.in_years(seen, "l_shipdate", y, y) for y in years}
+    return cohorts.zero_filled_counts(courses, lectures, seen, chosen)
 
 
 def meetings(spark: SparkSession, sf_dir: str) -> DataFrame:

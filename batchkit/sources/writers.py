@@ -54,14 +54,15 @@ def write_csv(
     single_file: bool = False,
     mode: str = "error",
     order: list[Column] | None = None,
+    sep: str = ",",
 ) -> None:
-    """Write CSV, with or without a header line per file.
+    """Write CSV, with or without a header line per file, or with another separator (``sep="\\t"``).
 
     Blanks around values stay, timestamps keep their microseconds, an empty text is written as
     ``""`` and NULL as nothing, so that ``read_table`` tells them apart.
     """
     options = {
-        "header": header, "escape": '"', "emptyValue": '""', "nullValue": "",
+        "header": header, "sep": sep, "escape": '"', "emptyValue": '""', "nullValue": "",
         "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
         "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
         "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",

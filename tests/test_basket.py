@@ -104,6 +104,44 @@ def test_baskets(spark, rows):
     assert rows(basket.baskets(df, "u", "p")) == [(1, ["A", "B"]), (2, ["C"])]
 
 
+def in_chunks(rows, size):
+    by_basket = {}
+    for key, product in rows:
+        if key is not None and product is not None:
+            by_basket.setdefault(key, set()).add(product)
+    return sorted(
+        (key, part, sorted(products)[part * size : (part + 1) * size])
+        for key, products in by_basket.items()
+        for part in range(-(-len(products) // size))
+    )
+
+
+@pytest.mark.parametrize("size, rows_per_range", [(1, 7), (7, 10), (10, 100_000), (1000, 3)])
+def test_chunks_do_not_depend_on_ranges(spark, rows, size, rows_per_range):
+    data = random_rows(size, crowded=True) + [(5, None), (None, "p01")]
+    df = spark.createDataFrame(data, "u int, p string")
+    got = rows(basket.basket_chunks(df, "u", "p", size, rows_per_range))
+    assert sorted(got) == in_chunks(data, size)
+    whole = dict(rows(basket.baskets(df, "u", "p")))
+    for key in whole:
+        assert sum((products for k, _, products in sorted(got) if k == key), []) == whole[key]
+
+
+def test_no_task_holds_a_hot_basket(spark, rows):
+    # one basket has a third of all rows
+    data = [(i // 2, i) for i in range(4000)] + [(-1, i) for i in range(2000)]
+    df = spark.createDataFrame(data, "u int, p int")
+    stage = Stage(spark)
+    items = stage.put(basket.basket_items(df, "u", "p").select("basket", "product"), "items")
+    ranged = basket._in_ranges(items, 300, stage)
+    held = ranged.groupBy("_range").count().collect()
+    assert max(r["count"] for r in held) < 900
+    assert ranged.filter("basket = -1").select("_range").distinct().count() > 4
+    chunks = basket.basket_chunks(df, "u", "p", 250, 300)
+    assert sorted(rows(chunks)) == in_chunks(data, 250)
+    assert basket.basket_chunks(df.limit(0), "u", "p").count() == 0
+
+
 def test_array_route_finds_the_same_pairs(spark):
     rows = random_rows(8)
     df = spark.createDataFrame(rows, "u int, p string")

@@ -4,6 +4,7 @@ from collections import Counter, deque
 import pytest
 
 from batchkit.operators import graph
+from batchkit.operators.staging import Stage
 
 
 def make(spark, vertices, edges):
@@ -123,6 +124,27 @@ def test_distances_against_brute_force(spark, seed):
     assert len(got) == len({(r.id, r.landmark) for r in got})
 
 
+def test_many_landmarks_join_each_edge_once_a_round(spark):
+    rng = random.Random(4)
+    vertices = [f"v{i:03d}" for i in range(130)]
+    edges = [(rng.choice(vertices), rng.choice(vertices)) for _ in range(400)]
+    g = make(spark, vertices, edges)
+    routes = graph.merge_routes(g)
+    landmarks = vertices[:100] + ["gone", vertices[3]]
+    got = graph.distances_to(g, landmarks, routes).collect()
+    for landmark in vertices[:100]:
+        want = brute_distances(vertices, edges, landmark)
+        assert {r.id: r.hop for r in got if r.landmark == landmark} == want
+    assert len(got) == len({(r.id, r.landmark) for r in got})
+    # written: a row for a vertex and round, not one for a vertex and landmark
+    newest = graph.distances_to(g, landmarks, routes)
+    folder = newest.inputFiles()[0].split("/hop=")[0]
+    stored = spark.read.parquet(folder)
+    assert stored.groupBy("id", "hop").count().filter("count > 1").isEmpty()
+    assert stored.count() * 5 < len(got)
+    assert graph.distances_to(g, [], routes).collect() == []
+
+
 def test_a_long_path(spark, rows):
     names = [f"n{i:02d}" for i in range(12)]
     g = make(spark, names, list(zip(names, names[1:])))
@@ -150,6 +172,39 @@ def test_components_against_brute_force(spark, seed):
     assert len(got) == len(vertices)
 
 
+def written(monkeypatch, g):
+    """The components, and the rows written in the rounds after the peeling."""
+    count, put = [], Stage.put
+
+    def watched(self, df, name):
+        table = put(self, df, name)
+        if name.split("-")[0] in ("below", "large", "lowest"):
+            count.append(table.count())
+        return table
+
+    monkeypatch.setattr(Stage, "put", watched)
+    return {r.id: r.component for r in graph.connected_components(g).collect()}, sum(count)
+
+
+def test_peeling_a_star_and_pairs(spark, monkeypatch):
+    star = [("m", f"{'a' if i else 'z'}{i:02d}") for i in range(40)]
+    pairs = [(f"p{i}", f"q{i}") for i in range(10)]
+    vertices = sorted({v for e in star + pairs for v in e} | {"alone"})
+    got, rows_written = written(monkeypatch, make(spark, vertices, star + pairs))
+    assert got == brute_components(vertices, star + pairs)
+    assert {got[v] for e in star for v in e} == {"a01"} and rows_written == 0
+
+
+def test_peeling_a_path_and_leaves_with_small_ids(spark, monkeypatch):
+    path = [(f"n{i:02d}", f"n{i + 1:02d}") for i in range(12)]
+    leaves = [(f"a{i:02d}", f"n{i:02d}") for i in range(1, 12)] + [("b", "n05"), ("n05", "c")]
+    vertices = sorted({v for e in path + leaves for v in e})
+    got, with_leaves = written(monkeypatch, make(spark, vertices, path + leaves))
+    assert set(got.values()) == {"a01"} and len(got) == len(vertices)
+    _, alone = written(monkeypatch, make(spark, vertices, path[1:-1]))
+    assert 0 < with_leaves < 2 * alone
+
+
 def test_component_sizes(spark, rows):
     g = make(spark, "abcdef", [("a", "b"), ("c", "b"), ("d", "e"), ("f", "f")])
     components = graph.connected_components(g)

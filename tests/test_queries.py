@@ -1,6 +1,7 @@
 """Every named query against SQL in another engine, on the smallest tables."""
 
 import math
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -55,6 +56,33 @@ def test_text_classifier_predicts_every_test_row(spark):
     assert {r.prediction for r in rows} <= {0.0, 1.0}
 
 
+def test_min_and_max_are_met():
+    """On the smallest tables no priority has both; on these one has."""
+    folder = "/root/testdata/sf0.01"
+    connection = duckdb.connect()
+    for name in ("orders", "lineitem"):
+        connection.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    assert connection.sql(ORACLE["min_max_year_select"]).fetchall()
+
+
+def test_min_max_year_select_has_rows(spark):
+    assert QUERIES["min_max_year_select"](spark, "/root/testdata/sf0.01").count() > 0
+
+
+def left_over(root):
+    return {str(p.relative_to(root).parent) for p in root.rglob("part-*")}
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_only_what_the_result_reads_is_left(spark, name):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = left_over(root)
+    df = QUERIES[name](spark, SF_DIR)
+    read = {p.split("file:")[-1].replace("%20", " ") for p in df.inputFiles()}
+    read = {str(Path("/" + p.lstrip("/")).parent.relative_to(root)) for p in read if str(root) in p}
+    assert left_over(root) - before <= read
+
+
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns == ["station", "weekday", "hour", "criticality"]

@@ -1,10 +1,11 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from batchkit import sources
-from batchkit.operators.staging import Stage, checkpoint_root
+from batchkit.operators.staging import Stage, checkpoint_root, remove_all
 
 
 def test_lines_round_trip(spark, tmp_path, rows):
@@ -88,8 +89,8 @@ def test_stage_writes_to_the_folder_of_the_session(spark):
     assert stage.put(spark.range(3).filter(F.col("id") > 5), "numbers").isEmpty()
 
 
-def fake_session(master, folder=None, default="file:///"):
-    settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://w/"}
+def fake_session(master, folder=None, default="file:///", warehouse="hdfs://w/"):
+    settings = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": warehouse}
     files = SimpleNamespace(getDefaultUri=lambda conf: SimpleNamespace(getScheme=lambda: default.split(":")[0]))
     context = SimpleNamespace(
         master=master,
@@ -114,6 +115,40 @@ def test_stages_are_in_a_folder_that_all_share():
             checkpoint_root(fake_session(master, "/tmp/c"))
 
 
+def test_a_warehouse_on_local_disks_is_refused_on_a_cluster():
+    for warehouse in ("file:/home/u/spark-warehouse", "file:///home/u/spark-warehouse", "/home/u/w"):
+        assert checkpoint_root(fake_session("local[2]", warehouse=warehouse)).startswith(warehouse)
+        for master in ("yarn", "spark://m:7077"):
+            with pytest.raises(ValueError, match="share"):
+                checkpoint_root(fake_session(master, warehouse=warehouse))
+    # nodes that mount one file system say so
+    assert checkpoint_root(fake_session("yarn", "file:/mnt/all", warehouse="file:/w")) == "file:/mnt/all"
+    assert checkpoint_root(fake_session("yarn", None, "hdfs://n", "/user/w")) == "/user/w/_stages"
+
+
+def test_a_closed_stage_holds_its_result_only(spark):
+    with Stage(spark) as stage:
+        for name in ("a", "b", "c"):
+            stage.put(spark.range(3), name)
+        stage.put(spark.range(1), "parts/hop=0")
+        stage.close("b", "parts")
+    assert sorted(p.name for p in Path(stage.root).iterdir()) == ["b", "parts"]
+    stage.close()
+    assert not Path(stage.root).exists()
+    with pytest.raises(ZeroDivisionError), Stage(spark) as failed:
+        failed.put(spark.range(3), "a")
+        raise ZeroDivisionError
+    assert not Path(failed.root).exists()
+
+
+def test_remove_all(spark):
+    stages = [Stage(spark), Stage(spark)]
+    for stage in stages:
+        stage.put(spark.range(3), "a")
+    remove_all(spark)
+    assert not any(Path(stage.root).exists() for stage in stages)
+
+
 def test_stages_can_be_removed(spark, tmp_path):
     stage = Stage(spark)
     stage.put(spark.range(3), "a")

@@ -1,5 +1,10 @@
+import json
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -106,3 +111,56 @@ def test_near_max(spark, rows):
     )
     assert rows(text.near_max(words, "ho", 0.8)) == [("hope", 9), ("house", 10)]
     assert rows(text.near_max(words, "nothing")) == []
+
+
+def both_ways(lines, prefix, drop_empty=False):
+    counts, totals = text.prefix_words_and_totals(lines, prefix, drop_empty)
+    return counted(counts), totals.first().asDict()
+
+
+@pytest.mark.parametrize("prefix", ["a", "hello", "", "A", "zz"])
+@pytest.mark.parametrize("drop_empty", [False, True])
+def test_words_and_totals_of_one_pass(lines, prefix, drop_empty):
+    counts, totals = both_ways(lines, prefix, drop_empty)
+    assert counts == counted(text.prefix_word_counts(lines, prefix, drop_empty))
+    assert totals == text.prefix_counters(lines, prefix).first().asDict()
+
+
+def test_words_and_totals_of_nothing(lines):
+    assert both_ways(lines.limit(0), "a") == ({}, {"selected_words": 0, "unselected_words": 0})
+
+
+RUN_TWICE = """
+import json, sys
+from pyspark import TaskContext
+from pyspark.sql import Observation, SparkSession
+from batchkit.operators import text
+
+spark = (
+    SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+)
+spark.sparkContext.setLogLevel("OFF")
+lines = spark.range(0, 90, 1, 3).selectExpr("concat(if(id % 3 = 0, 'the ', 'a '), 'x', id % 7) AS line")
+
+def fail_once(batches):
+    yield from batches
+    # all rows of the task have been handed on, and counted there
+    if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() == 1:
+        raise RuntimeError("lost")
+
+counts, totals = text.prefix_words_and_totals(lines.mapInArrow(fail_once, "line string"), "the")
+print(json.dumps([{r.word: r.n for r in counts.collect()}, totals.first().asDict()]))
+"""
+
+
+def test_a_task_that_runs_twice_counts_once(tmp_path):
+    """In a session of its own, as tasks are tried again only where the master allows it."""
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run(
+        [sys.executable, "-c", RUN_TWICE, str(tmp_path)], capture_output=True, text=True, timeout=300,
+        env=os.environ | {"PYTHONPATH": root}, check=True,
+    )
+    counts, totals = json.loads(done.stdout.strip().splitlines()[-1])
+    assert counts == {"the": 30, "x": 30}
+    assert totals == {"selected_words": 60, "unselected_words": 120}
