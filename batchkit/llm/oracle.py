@@ -104,31 +104,43 @@ ORACLE = {
             FROM documents
         ), lists AS (
             SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
-        ), grams AS (
-            SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i:i + m - 1])) AS g
-            FROM lists, range(1, 4) AS sizes(m)
-        ), f AS (
-            SELECT lang, m, g, array_to_string(g, ' ') AS phrase, count(*) AS f
-            FROM grams GROUP BY lang, m, g
+        ), words AS (
+            SELECT lang, unnest(w) AS x, unnest(list_append(w[2:], NULL)) AS y,
+                   unnest(list_concat(w[3:], [NULL, NULL])[:len(w)]) AS z
+            FROM lists WHERE len(w) > 0
+        ), f AS MATERIALIZED (
+            SELECT lang, x AS phrase, x, NULL AS y, NULL AS z, count(*) AS f FROM words GROUP BY lang, x
+            UNION ALL
+            SELECT lang, x || ' ' || y, x, y, NULL, count(*) FROM words
+            WHERE y IS NOT NULL GROUP BY lang, x, y HAVING count(*) >= 10
+            UNION ALL
+            SELECT lang, x || ' ' || y || ' ' || z, x, y, z, count(*) FROM words
+            WHERE z IS NOT NULL GROUP BY lang, x, y, z HAVING count(*) >= 10
         ), totals AS (
-            SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang
-        ), candidates AS (
-            SELECT * FROM f WHERE m > 1 AND f >= 10
+            SELECT lang, sum(f)::BIGINT AS n FROM f WHERE y IS NULL GROUP BY lang
+        ), known AS (
+            -- one key, so that no join is on the language alone
+            SELECT lang || chr(10) || phrase AS key, f FROM f
+        ), parts AS (
+            SELECT lang, phrase, f AS a, 1 AS k, lang || chr(10) || x AS head,
+                   lang || chr(10) || concat_ws(' ', y, z) AS rest
+            FROM f WHERE y IS NOT NULL
+            UNION ALL
+            SELECT lang, phrase, f, 2, lang || chr(10) || x || ' ' || y, lang || chr(10) || z
+            FROM f WHERE z IS NOT NULL
         ), cuts AS (
-            SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
-                   (1000000::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f))::BIGINT AS score
-            FROM candidates c, range(1, 3) AS places(k), f l, f r
-            WHERE k < c.m AND l.lang = c.lang AND l.phrase = array_to_string(c.g[1:k], ' ')
-              AND r.lang = c.lang AND r.phrase = array_to_string(c.g[k + 1:], ' ')
+            SELECT lang, phrase, a, k, l.f AS l, r.f AS r,
+                   (1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+            FROM parts JOIN known l ON l.key = head JOIN known r ON r.key = rest
         ), scored AS (
             SELECT lang, phrase, a, arg_min(l, (score, k)) AS l, arg_min(r, (score, k)) AS r,
                    min(score) AS score
             FROM cuts GROUP BY lang, phrase, a
         ), inside AS (
             SELECT lang, phrase, max(f) AS longer FROM (
-                SELECT lang, f, array_to_string(g[1:2], ' ') AS phrase FROM candidates WHERE m = 3
+                SELECT lang, f, x || ' ' || y AS phrase FROM f WHERE z IS NOT NULL
                 UNION ALL
-                SELECT lang, f, array_to_string(g[2:3], ' ') FROM candidates WHERE m = 3
+                SELECT lang, f, y || ' ' || z FROM f WHERE z IS NOT NULL
             ) GROUP BY lang, phrase
         ), ranked AS (
             SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
