@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -44,25 +46,46 @@ APART_WORDS = frozenset(
     "share sharing skip social sponsor sponsored subscribe tags toolbar widget".split()
 )
 CONTAINERS = frozenset("article main section div td body blockquote".split())
-TAG = re.compile(r"<(?:!--.*?(?:-->|$)|([!?])[^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?)", re.S)
+HOLDS_P = CONTAINERS | {"p"}
+ENDERS = frozenset().union(*ENDS_AT.values())
+ENDS_WALK = (CONTAINERS - {"td"}) | frozenset("ul ol dl table menu".split())
+STORIES = frozenset(("article", "main"))
+# A quote opens a string only behind an equals sign; ``<!-->`` is a whole comment.
+TAG = re.compile(
+    r"<(?:!--(?:-?>|.*?(?:--!?>|$))|([!?])[^>]*>?"
+    r"|(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*)>?)",
+    re.S,
+)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'=<>`]+))?")
 WORD = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 SPACE = re.compile(r"\s+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
-    """An open element: its generalised path, and what a page's score needs of it."""
+    """An element: the step it adds to its parent's path, and what a page's score needs of it."""
 
     tag: str
-    path: str
+    step: str
+    parent: Node | None
     apart: bool
     marked: bool = False  # a word of its class, id or role says that it stands apart
+    doubtful: bool = False  # such a word is only part of a name, and the element is in an article
     nested: bool = False  # in an element of the same name
     depth: int = 0
+    length: int = 0  # of the path as text
+    blocks: range = range(0)
     size: int = 0  # characters of text in it and below, links and what stands apart left out
-    blocks: list[int] = field(default_factory=list)
+    full: int = 0  # with links
+
+    @property
+    def path(self) -> str:
+        steps, node = [], self
+        while node.parent is not None:
+            steps.append(node.step)
+            node = node.parent
+        return "".join(f"/{step}" for step in reversed(steps))
 
 
 @dataclass
@@ -74,131 +97,205 @@ class Page:
     titles: set[int] = field(default_factory=set)  # blocks in an h1
 
 
-def parse(source: str) -> Page:
-    """Read a page in one pass, forgiving what is not closed, like a browser.
+def _sums(numbers: Iterable[int]) -> list[int]:
+    return list(accumulate(numbers, initial=0))
 
-    The path of a container is the tags from the root to it, each with the sorted words of its class,
-    numbers in them generalised to ``#``. What stands apart by its element has no blocks; what does so
-    by a word has none either, unless it surrounds the main text (``apart_blocks``).
+
+class Reader:
+    """One pass over a page. Every tag costs the same, however deep it stands.
+
+    The blocks of an element are those made between its start and its end, so they are a range, and its
+    size is a difference of two running totals.
     """
-    stack = [Node("", "", False)]
-    blocks: list[str] = []
-    sizes: list[int] = []
-    titles: set[int] = set()
-    containers: list[Node] = []
-    marked: list[Node] = []
-    story: list[Node] = []
-    text: list[str] = []
-    state = {"link": 0, "raw": ""}
-
-    def flush() -> None:
-        joined = SPACE.sub(" ", "".join(t for t, _ in text)).strip()
-        plain = sum(len(t.strip()) for t, link in text if not link)
-        text.clear()
-        if not joined or any(n.apart for n in stack):
+
+    def __init__(self) -> None:
+        self.stack = [Node("", "", None, False)]
+        self.opened: Counter[str] = Counter()  # names of open elements
+        self.inside: Counter[str] = Counter()  # kinds of open elements: apart, heading, story
+        self.blocks: list[str] = []
+        self.sizes: list[int] = []
+        self.size = self.full = 0
+        self.titles: set[int] = set()
+        self.headings: set[int] = set()
+        self.containers: list[Node] = []
+        self.marked: list[Node] = []
+        self.story: list[Node] = []
+        self.headers: list[Node] = []
+        self.text: list[tuple[str, bool]] = []
+
+    def add(self, part: str) -> None:
+        if part:
+            self.text.append((html.unescape(part) if "&" in part else part, self.opened["a"] > 0))
+
+    def flush(self) -> None:
+        """End the current block."""
+        if not self.text:
+            return
+        joined = SPACE.sub(" ", "".join(t for t, _ in self.text)).strip()
+        plain = sum(len(t.strip()) for t, link in self.text if not link)
+        self.text.clear()
+        if not joined or self.inside["apart"]:
             return
-        at = len(blocks)
-        blocks.append(joined)
-        sizes.append(plain)
-        if any(n.tag == "h1" for n in stack):
-            titles.add(at)
-        for node in stack:
-            node.size += plain
-            node.blocks.append(at)
-
-    def close(depth: int) -> None:
-        if any(n.tag in BLOCKS or n.apart for n in stack[depth:]):
-            flush()
-        for node in stack[depth:]:
-            if node.tag in CONTAINERS and not node.apart and node.blocks:
-                containers.append(node)
-            if node.marked and not node.apart and node.blocks:
-                marked.append(node)
+        at = len(self.blocks)
+        self.blocks.append(joined)
+        self.sizes.append(plain)
+        self.size += plain
+        self.full += len(joined)
+        if self.opened["h1"]:
+            self.titles.add(at)
+        if self.inside["heading"]:
+            self.headings.add(at)
+
+    def _kinds(self, node: Node) -> Iterator[str]:
+        if node.apart:
+            yield "apart"
+        if node.tag in HEADINGS:
+            yield "heading"
+        if node.tag in STORIES:
+            yield "story"
+
+    def open(self, node: Node) -> None:
+        node.parent, node.depth = self.stack[-1], len(self.stack)
+        node.length = node.parent.length + 1 + len(node.step)
+        node.blocks = range(len(self.blocks), len(self.blocks))
+        node.size, node.full = self.size, self.full
+        self.stack.append(node)
+        self.opened[node.tag] += 1
+        self.inside.update(self._kinds(node))
+
+    def close(self, depth: int) -> None:
+        """End all elements from this depth on."""
+        if any(n.tag in BLOCKS or n.apart for n in self.stack[depth:]):
+            self.flush()
+        while len(self.stack) > depth:
+            node = self.stack.pop()
+            self.opened[node.tag] -= 1
+            self.inside.subtract(self._kinds(node))
+            node.blocks = range(node.blocks.start, len(self.blocks))
+            node.size, node.full = self.size - node.size, self.full - node.full
+            if node.apart or not node.blocks:
+                continue
+            if node.tag in CONTAINERS:
+                self.containers.append(node)
+            if node.marked or node.doubtful and node.full > 2 * node.size:
+                node.marked = True
+                self.marked.append(node)
             if node.tag in ("main", "article", "h1") and node.size:
-                story.append(node)
-            if node.tag == "a":
-                state["link"] -= 1
-        del stack[depth:]
+                self.story.append(node)
+            if node.tag == "header":
+                self.headers.append(node)
+
+    def end(self, name: str) -> None:
+        """An end tag; without a start tag it means nothing."""
+        if not self.opened[name]:
+            if name == "br":
+                self.text.append((" ", False))
+            return
+        depth = len(self.stack) - 1
+        crossed = False
+        while self.stack[depth].tag != name:
+            crossed |= self.stack[depth].tag in CONTAINERS
+            if crossed and name not in BLOCKS:
+                return
+            depth -= 1
+        self.close(depth)
+
+    def start(self, name: str, source: str) -> None:
+        if name in BLOCKS:
+            self.flush()
+        if name in CLOSES_P and self.opened["p"]:
+            depth = len(self.stack) - 1
+            while depth and self.stack[depth].tag not in HOLDS_P:
+                depth -= 1
+            if depth and self.stack[depth].tag == "p":
+                self.close(depth)
+        if name in HEADINGS and self.stack[-1].tag in HEADINGS:
+            self.close(len(self.stack) - 1)
+        if name in ENDERS:
+            for k in range(len(self.stack) - 1, 0, -1):
+                if name in ENDS_AT.get(self.stack[k].tag, ()):
+                    self.close(k)
+                    continue
+                if self.stack[k].tag in ENDS_WALK:
+                    break
+        if name in VOID:
+            if name in ("br", "hr", "wbr"):
+                self.text.append((" " if name != "wbr" else "", False))
+            return
+        attributes = {m[1].lower(): (m[2] or "").strip("\"'") for m in ATTRIBUTE.finditer(source)}
+        classes = html.unescape(attributes.get("class", "")).lower().split()
+        names = [*classes, attributes.get("id", "").lower(), attributes.get("role", "").lower()]
+        in_story = self.inside["story"] > 0
+        inside = in_story and name != "article"  # one that is called a comment is one
+        apart = (
+            (name in APART and not (name == "header" and in_story))
+            or name in RAW
+            or "hidden" in attributes
+            or attributes.get("aria-hidden", "").lower() == "true"
+        )
+        said = [WORD.findall(n) for n in names]
+        part = any(not APART_WORDS.isdisjoint(words) for words in said)
+        whole = any(words and APART_WORDS.issuperset(words) for words in said)
+        step = ".".join([name, *sorted({DIGITS.sub("#", c) for c in classes})])
+        nested = name == "article" and self.opened[name] > 0
+        self.open(
+            Node(name, step, None, apart, whole if inside else part, inside and part and not whole, nested)
+        )
 
-    def add(part: str) -> None:
-        if part:
-            text.append((html.unescape(part) if "&" in part else part, state["link"] > 0))
 
+def parse(source: str) -> Page:
+    """Read a page in one pass, forgiving what is not closed, like a browser.
+
+    The path of a container is the tags from the root to it, each with the sorted words of its class,
+    numbers in them generalised to ``#``. What stands apart by its element has no blocks; what does so
+    by a word has none either, unless it surrounds the main text (``apart_blocks``). In an ``article`` or
+    ``main`` a word counts if it is a whole name, or all words of a name say so, or the element is mostly
+    links; of a ``header`` there the headings stay.
+    """
+    page = Reader()
+    raw = ""
     at = 0
     while at < len(source):
-        if state["raw"]:  # up to its end tag, whatever it looks like
-            end = re.compile(rf"</{state['raw']}(?=[\s/>])", re.I).search(source, at)
-            state["raw"] = ""
+        if raw:  # up to its end tag, whatever it looks like
+            end = re.compile(rf"</{raw}(?=[\s/>])", re.I).search(source, at)
+            raw = ""
             at = end.start() if end else len(source)
             continue
         tag = TAG.search(source, at)
         if tag is None:
             rest = source[at:]
             cut = re.search(r"<[a-zA-Z/!?]", rest)  # a tag that the page breaks off in
-            add(rest[: cut.start()] if cut else rest)
+            page.add(rest[: cut.start()] if cut else rest)
             break
-        add(source[at : tag.start()])
+        page.add(source[at : tag.start()])
         at = tag.end()
         name = (tag[3] or "").lower()
         if not name:
             continue
         if tag[2]:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == name), 0)
-            crossed = any(stack[k].tag in CONTAINERS for k in range(depth + 1, len(stack)))
-            if depth and not (crossed and name not in BLOCKS):
-                close(depth)
-            elif name == "br":
-                text.append((" ", False))
-            continue
-        if name in BLOCKS:
-            flush()
-        if name in CLOSES_P:
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in CONTAINERS | {"p"}), 0)
-            if depth and stack[depth].tag == "p":
-                close(depth)
-        if name in HEADINGS and stack[-1].tag in HEADINGS:
-            close(len(stack) - 1)
-        for k in range(len(stack) - 1, 0, -1):
-            if name in ENDS_AT.get(stack[k].tag, ()):
-                close(k)
-                continue
-            if stack[k].tag in ("ul", "ol", "dl", "table", "menu") or stack[k].tag in CONTAINERS - {"td"}:
-                break
-        if name in VOID:
-            if name in ("br", "hr", "wbr"):
-                text.append((" " if name != "wbr" else "", False))
-            continue
-        attributes = {m[1].lower(): (m[2] or "").strip("\"'") for m in ATTRIBUTE.finditer(tag[4])}
-        classes = html.unescape(attributes.get("class", "")).lower().split()
-        said = " ".join((*classes, attributes.get("id", ""), attributes.get("role", ""))).lower()
-        apart = (
-            name in APART
-            or name in RAW
-            or "hidden" in attributes
-            or attributes.get("aria-hidden", "").lower() == "true"
-        )
-        says = not APART_WORDS.isdisjoint(WORD.findall(said))
-        step = ".".join([name, *sorted({DIGITS.sub("#", c) for c in classes})])
-        nested = name == "article" and any(n.tag == name for n in stack)
-        stack.append(Node(name, f"{stack[-1].path}/{step}", apart, says, nested, len(stack)))
-        if name == "a":
-            state["link"] += 1
-        if name in RAW:
-            state["raw"] = name
-    close(1)
-    flush()
-    if blocks:
-        containers.append(stack[0])
-    lost = apart_blocks(marked, story, sizes)
-    if not lost:
-        return Page(blocks, containers, titles)
-    left = [b for b in range(len(blocks)) if b not in lost]
-    place = {b: k for k, b in enumerate(left)}
-    for node in containers:
-        node.size -= sum(sizes[b] for b in node.blocks if b in lost)
-        node.blocks = [place[b] for b in node.blocks if b not in lost]
-    titles = {place[b] for b in titles if b not in lost}
-    return Page([blocks[b] for b in left], [n for n in containers if n.blocks], titles)
+            page.end(name)
+        else:
+            page.start(name, tag[4])
+            raw = name if name in RAW else ""
+    page.close(1)
+    page.flush()
+    root = page.stack[0]
+    root.blocks, root.size = range(len(page.blocks)), page.size
+    if page.blocks:
+        page.containers.append(root)
+    lost = apart_blocks(page.marked, page.story, page.sizes)
+    for node in page.headers:
+        lost.update(b for b in node.blocks if b not in page.headings)
+    if lost:
+        kept = [b not in lost for b in range(len(page.blocks))]
+        place, size = _sums(kept), _sums(n * k for n, k in zip(page.sizes, kept, strict=True))
+        for node in page.containers:
+            first, last = node.blocks.start, node.blocks.stop
+            node.blocks, node.size = range(place[first], place[last]), size[last] - size[first]
+        page.containers = [n for n in page.containers if n.blocks]
+        page.titles = {place[b] for b in page.titles if kept[b]}
+        page.blocks = [b for b, k in zip(page.blocks, kept, strict=True) if k]
+    return Page(page.blocks, page.containers, page.titles)
 
 
 def apart_blocks(marked: list[Node], story: list[Node], sizes: list[int]) -> set[int]:
@@ -231,51 +328,53 @@ def apart_blocks(marked: list[Node], story: list[Node], sizes: list[int]) -> set
     return {b for b, d in enumerate(depth) if d}
 
 
-def candidates(page: Page) -> dict[str, tuple[float, bool, int]]:
-    """Ranks of the paths of a page's containers, by the fullest one: its score, then two tie-breaks.
+def best_path(page: Page) -> tuple[str | None, float]:
+    """The path of the container of highest rank, the first by name among equals, and its score.
 
     The score is the text without links. An ``article`` or ``main`` counts a fifth more, and so does
     a container that adds nothing but the title to the fullest one of these. Of containers with the
     same score one that holds an ``h1`` is before others, then the innermost. So no text and no title
     is left out for the sake of depth.
     """
-    stories = [n for n in page.containers if n.tag in ("article", "main")]
+    titles = _sums(b in page.titles for b in range(len(page.blocks)))
+
+    def held(first: int, last: int) -> int:
+        return titles[last] - titles[first]
+
+    stories = [n for n in page.containers if n.tag in STORIES]
     story = max(stories, key=lambda n: n.size, default=None)
-    if story and page.titles.intersection(story.blocks):
+    if story and held(story.blocks.start, story.blocks.stop):
         story = None
 
     def weight(node: Node) -> float:
-        if node.tag in ("article", "main"):
+        if node.tag in STORIES:
             return 1.2
-        if not story or not node.blocks[0] <= story.blocks[0] <= story.blocks[-1] <= node.blocks[-1]:
+        if not story or story.blocks.start < node.blocks.start or node.blocks.stop < story.blocks.stop:
             return 1.0
-        more = (*range(node.blocks[0], story.blocks[0]), *range(story.blocks[-1] + 1, node.blocks[-1] + 1))
-        return 1.2 if page.titles.issuperset(more) else 1.0
-
-    found: dict[str, tuple[float, bool, int]] = {}
-    for node in page.containers:
-        rank = (weight(node) * node.size, not page.titles.isdisjoint(node.blocks), node.depth)
-        found[node.path] = max(found.get(node.path, rank), rank)
-    return found
-
+        more = len(node.blocks) - len(story.blocks)
+        return 1.2 if more == held(node.blocks.start, node.blocks.stop) else 1.0
 
-def best_path(page: Page) -> tuple[str | None, float]:
-    """The path of highest rank, the first by name among equals, and its score."""
-    found = candidates(page)
-    top = max(found.values(), default=(0.0, False, 0))
-    return min((p for p, rank in found.items() if rank == top), default=None), top[0]
+    ranks = [
+        (weight(n) * n.size, held(n.blocks.start, n.blocks.stop) > 0, n.depth) for n in page.containers
+    ]
+    top = max(ranks, default=(0.0, False, 0))
+    best = (n.path for n, rank in zip(page.containers, ranks, strict=True) if rank == top)
+    return min(best, default=None), top[0]
 
 
 def main_text(page: Page, path: str | None) -> str:
     """Blocks in the containers with the host's path; without any, in the page's own best one."""
-    chosen = [n for n in page.containers if n.path == path]
+    chosen = _at(page, path)
     if not chosen and page.containers:
-        best, _ = best_path(page)
-        chosen = [n for n in page.containers if n.path == best]
+        chosen = _at(page, best_path(page)[0])
     at = sorted({b for n in chosen for b in n.blocks})
     return "\n".join(page.blocks[b] for b in at) if chosen else "\n".join(page.blocks)
 
 
+def _at(page: Page, path: str | None) -> list[Node]:
+    return [n for n in page.containers if path is not None and n.length == len(path) and n.path == path]
+
+
 def host(url: Column) -> Column:
     """The host of an address in lower case, without user and port; empty if there is none."""
     found = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -145,3 +146,38 @@ def test_edges(spark):
     assert (by_id[1].text, by_id[1].url, by_id[2].text) == ("", None, "")
     assert by_id[3].n_chars == 20_000 * 16 - 1 and by_id[None].text == "a" and by_id[5].text == "deep"
     assert extract.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<p><a title=it's>link</a> two</p><p>Three isn't four</p>", "link two\nThree isn't four"),
+        ("<p>a <img src=\"x\"\" alt=\"it's\"> b</p><p>c's</p>", "a b\nc's"),
+        ("<p title = \"a > b\">c</p><p title='>'>d</p>", "c\nd"),
+        ("<p>a<!-->b</p><!---><p>c</p><p>d<!-- x --!>e</p>", "ab\nc\nde"),
+        ("<p>a <b x=\"never closed>b</b></p><p>c</p>", "a b\nc"),
+        ("<div class='related-work'><p>a</p></div><p class='tags-explained'>b</p>", "a\nb"),
+        ("<div class=related-posts><a href=x>one</a> <a href=y>two</a></div><p>b</p>", "b"),
+        ("<header><h1>Title</h1><p>by somebody</p></header><p>b</p>", "Title\nb"),
+        ("<header>no heading</header><p>b</p>", "b"),
+    ],
+)
+def test_no_text_of_an_article_is_lost(source, text):
+    assert own(body(f"<header>site</header><article>{source}</article>")) == text
+    assert own(body(f"<nav>menu</nav><main>{source}</main>")) == text
+
+
+@pytest.mark.parametrize("unit", ["<font>x ", "<div>", "<div><p>word ", "<span class=a>", "<li>a<b>", "</i><i>"])
+def test_reading_is_linear(unit):
+    source = unit * (1_000_000 // len(unit)) + "<p>the end"
+    start = time.perf_counter()
+    path, _ = extract.best_path(extract.parse(source))
+    assert extract.main_text(extract.parse(source), path).endswith("the end")
+    assert time.perf_counter() - start < 10
+
+
+def test_tied_votes_go_to_the_first_path(spark):
+    data = [(k, "http://t.example/", f"<body><div class={c}><p>same text</p></div>") for k, c in enumerate("baba")]
+    data += [(5, "http://t.example/5", "<body><div class=b><p>in b</p></div><div class=a><p>in a</p></div>")]
+    got = {r.page_id: r.text for r in extract.extract(spark.createDataFrame(data, SCHEMA)).collect()}
+    assert got[5] == "in a" and got[0] == got[1] == "same text"
