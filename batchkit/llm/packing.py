@@ -191,32 +191,45 @@ class OpenBins:
 def pack(
     pieces: DataFrame,
     size: int = 2048,
-    open_bins: int = 1 << 16,
+    open_bins: int = 1024,
     pieces_per_task: int = 50_000,
+    ahead: int = 1024,
     id_col: str = "doc_id",
+    longest_first: bool = False,
 ) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of at most ``size`` tokens.
 
-    The pieces are dealt out by a hash, about ``pieces_per_task`` to a task, and each task places its
-    own one by one by ``OpenBins``, the longest first. In that order the fullest bins are not needed
-    again soon, so ``open_bins`` is more than a task usually opens; it bounds the memory of a task
-    with more. Sequences are gapless from 0. ``pieces`` should be a written table, as it is counted
-    first. Further columns stay; a longer piece raises an error.
+    The pieces are dealt out at random but for good, about ``pieces_per_task`` to a task: by a hash of what
+    is known of them and of their place in ``pieces``, so that rows that repeat are spread too. Each task
+    places its own one by one in the order of the hash by ``OpenBins`` with at most ``open_bins``, of which
+    the fullest closes first. It looks ``ahead`` at so many pieces at most and takes the longest of these
+    first; 1 is without looking ahead. With ``longest_first`` all pieces of a task are sorted and no bin
+    closes, which is not online and not bounded. Sequences are gapless from 0. ``pieces`` should be a
+    written table, as it is counted first. Further columns stay; a longer piece raises an error.
     """
     tasks = max(1, round(pieces.count() / pieces_per_task))
     columns = pieces.columns
-    dealt = pieces.repartition(tasks, F.col(id_col), F.col("piece")).sortWithinPartitions(
-        F.desc("length"), id_col, "piece", "ids_crc32"
-    )
+    place = F.monotonically_increasing_id()
+    order = "_order"
+    while order in columns:
+        order += "_"
+    dealt = pieces.withColumn(order, F.xxhash64(id_col, "piece", "start", "ids_crc32", place))
+    dealt = dealt.repartition(tasks, order)
+    first = [F.desc("length")] if longest_first else []
+    dealt = dealt.sortWithinPartitions(*first, order).drop(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = OpenBins(size, open_bins)
+        bins = OpenBins(size, sys.maxsize if longest_first else open_bins)
         base = TaskContext.get().partitionId() << 36
         for batch in batches:
             lengths = batch["length"].to_pylist()
             if lengths and max(lengths) > size:
                 raise ValueError(f"a piece is longer than {size}")
-            placed = [bins.put(n) for n in lengths]
+            placed = [(0, 0)] * len(lengths)
+            for first in range(0, len(lengths), ahead):
+                window = range(first, min(first + ahead, len(lengths)))
+                for row in sorted(window, key=lambda row: -lengths[row]):
+                    placed[row] = bins.put(lengths[row])
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.columns,

@@ -94,3 +94,24 @@ def test_few_open_bins_and_edges(spark):
     assert sum(r.length for r in rows if r.doc_id == 4) == 30_001
     assert sorted((r.length for r in rows if r.doc_id in (1, 2))) == [1, 1]
     assert packing.pack_documents(df.limit(0), PATH).count() == 0
+
+
+def test_bins_close_and_repeats_are_spread(spark):
+    rng = np.random.default_rng(8)
+    lengths = rng.integers(1, 1200, 3000).tolist()
+    df = spark.createDataFrame(
+        [(None, 0, 0, n, 7, "c") for n in lengths],
+        "doc_id long, piece int, start long, length long, ids_crc32 long, _order string",
+    )
+    used = {}
+    for limit, ahead in ((4, 1), (256, 1), (256, 256)):
+        rows = packing.pack(df, open_bins=limit, ahead=ahead).collect()
+        used[limit, ahead] = gapless(rows, 2048)
+        assert sorted(r.length for r in rows) == sorted(lengths)
+    least = -(-sum(lengths) // 2048)
+    whole = gapless(packing.pack(df, longest_first=True).collect(), 2048)
+    assert least <= whole <= used[256, 256] <= used[256, 1] < used[4, 1]
+    assert used[256, 256] <= 1.02 * least
+    # one id and one checksum in all rows: still dealt to all tasks
+    tasks = packing.pack(df, pieces_per_task=300).groupBy((F.col("sequence_id") / (1 << 36)).cast("int")).count()
+    assert tasks.count() >= 8 and tasks.agg(F.max("count")).first()[0] < 900
