@@ -156,6 +156,8 @@ def find_near(
         "fingerprint",
         F.when(F.col("component").isNull(), F.col("node")).otherwise(F.col("least")).alias("component_id"),
     )
+    # written, so that its size is known: joined by broadcast, or with the prints of a hot one split
+    reached = stage.put(reached, "reached")
     return prints.join(reached, "fingerprint").select(
         F.col("_id").alias(id_col),
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
