@@ -32,7 +32,7 @@ def shape(word: str) -> str:
     if body.isalpha() and body.islower() and not end.isalnum():
         return f"a{end}"
     kinds = "".join(
-        "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:200]
+        "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word
     )
     return RUNS.sub(lambda m: m.group()[0] + ("+" if len(m.group()) > 1 and m.group(3) else ""), kinds)
 
