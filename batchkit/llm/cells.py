@@ -30,16 +30,24 @@ def meetings(
     """
     sizes = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block)
     sizes = stage.put(sizes, "hot-cells")
+    return gather(deal(rows.join(sizes, cell, "left"), id_col, block), cell, id_col)
+
+
+def deal(sized: DataFrame, id_col: str, block: int) -> DataFrame:
+    """A copy of each row for every group it takes part in; ``_n`` is the size of its cell, if hot."""
     chunks = F.coalesce(F.ceil(F.col("_n") / block), F.lit(1)).cast("int")
-    dealt = (
-        rows.join(sizes, cell, "left")
-        .withColumn("_k", chunks)
+    return (
+        sized.withColumn("_k", chunks)
         .withColumn("_chunk", F.pmod(F.xxhash64(id_col, F.lit(block)), F.col("_k")).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
         .withColumn("_i", F.least("_chunk", "_other"))
         .withColumn("_j", F.greatest("_chunk", "_other"))
         .drop("_n", "_k", "_other")
     )
+
+
+def gather(dealt: DataFrame, cell: list[str], id_col: str) -> DataFrame:
+    """The rows of each group in one partition, one behind the other."""
     keys = [*cell, *GROUP]
     return dealt.repartition(*[F.col(c) for c in keys]).sortWithinPartitions(*keys, id_col)
 

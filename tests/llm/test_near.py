@@ -81,6 +81,42 @@ def test_embeddings(spark, block):
     assert embeddings.find_near(df.limit(0)).count() == 0
 
 
+def test_embeddings_in_columns_of_clashing_names(spark):
+    data = [(1, [1.0, 2.0], None), (2, [2.0, 4.0], 1), (3, [1.0, 2.0], 1), (4, [-1.0, 2.0], 1), (None, None, 1)]
+    df = spark.createDataFrame(data, "n long, vector array<double>, label int")
+    df = df.withColumns({c: F.lit(7) for c in ("id", "node", "weight", "component", "keys", "_n", "dim", "_row")})
+    got = embeddings.find_near(df, "n", "vector", None).collect()
+    got = {r[0]: (r.n_links, r.component_id, r.kept) for r in got}
+    assert got == {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), 4: (0, 4, True), None: (0, None, False)}
+
+
+def test_groups_of_equal_vectors_cost_no_comparisons(spark):
+    """Nearly all rows are one vector, a smaller group lies beside it, others are apart."""
+    rng = np.random.default_rng(8)
+    apart = rng.standard_normal((200, 16))
+    few = spark.createDataFrame([(30_000 + i, v.tolist()) for i, v in enumerate(apart)], "id long, v array<double>")
+    v, w = (F.array(*map(F.lit, [1.0] * 15 + [last])) for last in (1.0, 1.2))
+    hot = spark.range(20_300).select("id", F.when(F.col("id") < 20_000, v).otherwise(w).alias("v"))
+    got = embeddings.find_near(hot.union(few), "id", "v", None).collect()
+    unit = np.vstack([np.ones(16), [1.0] * 15 + [1.2], apart])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.93
+    assert near[0].tolist() == [True, True] + [False] * 200  # the random ones are apart
+    hot_rows = [r for r in got if r.id < 20_300]
+    assert len(got) == 20_500 and len(hot_rows) == 20_300
+    assert {(r.n_links, r.component_id) for r in hot_rows} == {(20_299, 0)}
+    assert [r.id for r in hot_rows if r.kept] == [0]
+    links = near[2:, 2:].sum(axis=1) - 1
+    assert [r.n_links for r in sorted(got, key=lambda r: r.id)[20_300:]] == links.tolist()
+
+
+@pytest.mark.parametrize("bits", [12, 16, 20])
+def test_recall_of_more_planes(bits):
+    tables = embeddings.tables_for(bits, 0.93, 0.997)
+    same = (1 - np.arccos(0.93) / np.pi) ** bits
+    assert 1 - (1 - same) ** tables >= 0.997 > 1 - (1 - same) ** (tables - 1)
+
+
 def test_recall_at_the_threshold():
     rng = np.random.default_rng(5)
     a = rng.standard_normal((2000, 64))
@@ -89,7 +125,8 @@ def test_recall_at_the_threshold():
     b -= (b * a).sum(axis=1, keepdims=True) * a
     b /= np.linalg.norm(b, axis=1, keepdims=True)
     b = 0.93 * a + np.sqrt(1 - 0.93**2) * b
-    met = (embeddings.signatures(a, 24, 12) == embeddings.signatures(b, 24, 12)).any(axis=1)
+    tables = embeddings.tables_for(16, 0.93, 0.997)
+    met = (embeddings.signatures(a, tables, 16) == embeddings.signatures(b, tables, 16)).any(axis=1)
     assert met.mean() > 0.985
 
 
