@@ -8,6 +8,23 @@ from batchkit.llm.common import crc_mod, text_sha
 from batchkit.operators.staging import Stage
 
 
+def first_places(known: DataFrame, rows: int, count: int, spare: float = 4.0) -> DataFrame:
+    """The ``rows`` rows of smallest ``place`` and id, of ``count`` rows with places spread over all longs.
+
+    Only places below a bound under which ``spare`` times that many are expected are sorted, so that the
+    task which makes the choice reads a few times ``rows`` whatever the number of rows and tasks. If too
+    few are below the bound it is doubled; the rows chosen do not depend on it.
+    """
+    below, share = known, spare * rows / max(count, 1)
+    while share < 1:
+        few = known.filter(F.col("place") < int((share - 0.5) * 2**64))
+        if few.count() >= rows:
+            below = few
+            break
+        share *= 2
+    return below.orderBy("place", "_id").limit(rows)
+
+
 def sample(
     docs: DataFrame,
     labels: DataFrame,
@@ -25,7 +42,8 @@ def sample(
     for each of the labels 0 and 1. An id that is labelled more than once has its largest label; null
     ids and labels are left out. The sample is small enough to be broadcast: two numbers a row. Of an
     id that repeats with several texts the one of the smallest digest is taken, found in each task
-    before the shuffle, so that the sample has one row for each chosen id.
+    before the shuffle, so that the sample has one row for each chosen id. Texts are whole, however long;
+    an empty table or one label alone gives what there is.
     """
     known = (
         labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
@@ -42,7 +60,7 @@ def sample(
     counts = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
     chosen = None
     for label in (0, 1):
-        part = known.filter(F.col("label") == label).orderBy("place", "_id").limit(rows_per_class)
+        part = first_places(known.filter(F.col("label") == label), rows_per_class, counts.get(label, 0))
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("text"))
     found = texts.join(F.broadcast(stage.put(chosen, f"chosen-{label_col}")), "_id")

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from batchkit.llm import labels as sampling
 from batchkit.llm import quality, queries, toxicity
@@ -34,6 +35,17 @@ def test_held_out(spark, query, label, divisor, rest, threshold, least):
     assert np.mean(right) >= least
 
 
+@pytest.mark.parametrize("spare", [4.0, 0.01])
+def test_the_choice_does_not_depend_on_the_bound(spark, spare):
+    known = spark.range(30_000).select(F.col("id").alias("_id"), F.xxhash64("id").alias("place"))
+    want = known.orderBy("place", "_id").limit(50).collect()
+    assert sampling.first_places(known, 50, 30_000, spare).collect() == want
+    assert sampling.first_places(known.limit(9), 50, 9, spare).count() == 9
+    assert sampling.first_places(known.limit(0), 50, 0, spare).count() == 0
+    tied = known.withColumn("place", F.lit(2**62))
+    assert [r._id for r in sampling.first_places(tied, 3, 30_000, spare).collect()] == [0, 1, 2]
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_edges(spark, module):
     long = "fine words here " * 20_000
