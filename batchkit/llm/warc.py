@@ -19,18 +19,22 @@ INDEX = (
     "payload_bytes long, payload_digest string, record_type string, refers_to long"
 )
 ORDER = ["url_key", "timestamp", "page_id", "file", "offset"]
+NO_ID = "<urn:uuid:00000000-0000-0001-0000-000000000000>"  # of records whose page has no id
 
 
 def record_id(page_id: Column) -> Column:
-    """A URN in UUID form that holds the 64 bits of the id."""
+    """A URN in UUID form that holds the 64 bits of the id; ``NO_ID`` for null."""
     digits = F.lower(F.lpad(F.hex(page_id.cast("long")), 16, "0"))
-    return F.concat(
+    urn = F.concat(
         F.lit("<urn:uuid:00000000-0000-0000-"), F.substring(digits, 1, 4), F.lit("-"),
         F.substring(digits, 5, 12), F.lit(">"),
     )
+    return F.coalesce(urn, F.lit(NO_ID))
 
 
-def page_of(urn: str) -> int:
+def page_of(urn: str) -> int | None:
+    if urn == NO_ID:
+        return None
     number = int(urn.strip("<>").replace("-", "")[-16:], 16)
     return number - (1 << 64) if number >> 63 else number
 
@@ -109,11 +113,13 @@ def write_archives(
     Of pages with equal payloads (the html in UTF-8, null as empty) of at least ``least_bytes``, the
     one with the largest id is a response and the others are revisits of it, without payload; all
     smaller ones are responses. ``date_col`` holds the time of capture as text, else it is ``date``.
-    A null id is written as 0, a null url as empty. An empty table gives archives without records.
+    A row without an id has a record of its own, read back as null; it refers to the response like any
+    other copy, and where no copy has an id all of them are responses. A null url is written as empty.
+    An empty table gives archives without records.
     """
     stage = stage or Stage(pages.sparkSession)
     rows = pages.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
+        F.col(id_col).cast("long").alias("id"),
         F.coalesce(url_col, F.lit("")).alias("url"),
         F.coalesce(html_col, F.lit("")).alias("html"),
         (F.coalesce(F.col(date_col), F.lit(date)) if date_col else F.lit(date)).alias("date"),
@@ -292,7 +298,8 @@ def merge_index(index: DataFrame, stage: Stage, rows_per_task: int = 200_000) ->
             return
         table = pa.concat_tables(tables)
         run = table["run"].to_pylist()
-        keys = [table[c].to_pylist() for c in ORDER]
+        # nulls first, as Spark sorts them
+        keys = [[(v is not None, v) for v in table[c].to_pylist()] for c in ORDER]
         starts = [i for i in range(len(run)) if not i or run[i] != run[i - 1]]
         ends = [*starts[1:], len(run)]
         parts = [zip(*(k[a:b] for k in keys), range(a, b)) for a, b in zip(starts, ends, strict=True)]

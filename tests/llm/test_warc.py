@@ -71,7 +71,25 @@ def test_edges(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert warc.archive(empty).count() == 0
     df = spark.createDataFrame([(None, None, None, "c", 1)], SCHEMA + ", bytes string, same int")
-    assert [(r.page_id, r.url, r.payload_bytes) for r in warc.archive(df).collect()] == [(0, "", 0)]
+    assert [(r.page_id, r.url, r.payload_bytes) for r in warc.archive(df).collect()] == [(None, "", 0)]
+
+
+def test_pages_without_an_id(spark):
+    big, alone = "big " * 300, "none of these has an id " * 60
+    data = [(None, "http://a", big), (0, "http://a", big), (None, "http://a", big), (-3, "http://a", big)]
+    data += [(None, "http://b", alone), (None, "http://b", alone), (None, "http://c", "small"), (0, "http://c", "small")]
+    df = spark.createDataFrame(data, SCHEMA).repartition(3)
+    rows = [(r.url, r.page_id, r.record_type, r.refers_to) for r in warc.archive(df).collect()]
+    assert rows == [
+        ("http://a", None, "revisit", 0),
+        ("http://a", None, "revisit", 0),
+        ("http://a", -3, "revisit", 0),
+        ("http://a", 0, "response", None),
+        ("http://b", None, "response", None),
+        ("http://b", None, "response", None),
+        ("http://c", None, "response", None),
+        ("http://c", 0, "response", None),
+    ]
 
 
 def test_the_whole_table(spark):
