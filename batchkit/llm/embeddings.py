@@ -31,6 +31,22 @@ def tables_for(bits: int, threshold: float, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - same))
 
 
+def first_meetings(
+    a: np.ndarray, b: np.ndarray, keys: np.ndarray, number: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs whose keys agree in no table before the one they meet in, which is ``number`` of their rows.
+
+    Near copies agree in most tables, so nearly all of their pairs go after the first few.
+    """
+    start, tables = 0, keys.shape[1]
+    while start < tables and len(a):
+        end = min(tables, 2 * start + 1)
+        earlier = np.arange(start, end) < number[a][:, None]
+        new = ~(earlier & (keys[a, start:end] == keys[b, start:end])).any(axis=1)
+        a, b, start = a[new], b[new], end
+    return a, b
+
+
 def is_usable(vector: Column) -> Column:
     """Whether a vector has a direction: finite components, not all of them zero."""
     finite = F.forall(vector, lambda x: F.abs(x) < float("inf"))
@@ -54,8 +70,8 @@ def find_near(
     they agree on all planes of at least one table and their cosine, in double precision, is at
     least ``threshold``. A pair at angle a is found with probability
     1 - (1 - (1 - a/pi)**bits)**tables, and there are as many tables as ``recall`` needs at the
-    threshold itself; nearer pairs are found more often. A pair that meets in several tables counts
-    in the first one. ``component_id`` is the smallest id reachable, its own included; ``kept`` says
+    threshold itself; nearer pairs are found more often. A pair that meets in several tables is
+    compared in the first one only. ``component_id`` is the smallest id reachable, its own included; ``kept`` says
     that it is the vector's own.
 
     Equal vectors of a label are one point with a weight, whose links count for each of them, so a
@@ -144,13 +160,12 @@ def find_near(
             links = np.zeros(table.num_rows, np.int64)
             for a, b in cells.pairs(after, table):
                 for part in np.array_split(np.arange(len(a)), len(a) // 100_000 + 1):
-                    x, y = a[part], b[part]
+                    x, y = first_meetings(a[part], b[part], keys, number)
                     near = np.einsum("ij,ij->i", unit[x], unit[y]) >= threshold
                     x, y = x[near], y[near]
-                    first = (keys[x] == keys[y]).argmax(axis=1) == number[x]
                     forest.link(x, y)
-                    np.add.at(links, x[first], weight[y[first]])
-                    np.add.at(links, y[first], weight[x[first]])
+                    np.add.at(links, x, weight[y])
+                    np.add.at(links, y, weight[x])
             hung = np.flatnonzero((links > 0) | (forest.root != np.arange(len(links))))
             ids = table["id"].combine_chunks()
             yield pa.RecordBatch.from_arrays(

@@ -110,6 +110,15 @@ def test_groups_of_equal_vectors_cost_no_comparisons(spark):
     assert [r.n_links for r in sorted(got, key=lambda r: r.id)[20_300:]] == links.tolist()
 
 
+def test_pairs_are_compared_where_they_first_meet():
+    keys = np.random.default_rng(2).integers(0, 4, (40, 9))
+    a, b = np.triu_indices(40, 1)
+    for table in range(9):
+        x, y = embeddings.first_meetings(a, b, keys, np.full(40, table))
+        want = [(i, j) for i, j in zip(a, b, strict=True) if (keys[i, :table] != keys[j, :table]).all()]
+        assert list(zip(x, y, strict=True)) == want
+
+
 @pytest.mark.parametrize("bits", [12, 16, 20])
 def test_recall_of_more_planes(bits):
     tables = embeddings.tables_for(bits, 0.93, 0.997)
