@@ -19,6 +19,7 @@ from batchkit.operators.staging import Stage
 
 END = 0  # the code of the end of a piece: no word
 DITTO = 1  # the code of the mark for the word of the row before
+SMALL = 64  # rows of a partition that is not split further
 
 # Every mark that ends a piece becomes a line feed, every other separator of words a blank.
 MARKS = bytes.maketrans(b".,;:!?\x0b\x0c\x0d\t", b"\n" * 9 + b" ")
@@ -41,20 +42,28 @@ def equal_groups(
 
     All open partitions are split in one step: the word of a row in the middle is the pivot, the rows with
     a smaller, an equal and a larger word are put apart, in the order they had, and the equal ones
-    go one word deeper. Without ``weights`` every row weighs one. Partitions that weigh less than ``least`` are abandoned, and a row that is alone
-    is in order already.
+    go one word deeper. Without ``weights`` every row weighs one. Partitions that weigh less than
+    ``least`` are abandoned, a row that is alone is in order already, and small partitions of which two words
+    are left at most are put in order at once, as a quicksort does with its short ends.
     """
     depth_max, total = len(columns), len(columns[0])
     words = np.concatenate(columns)  # word d of row i is at d * total + i
+    width = int(words.max(initial=0)).bit_length()
+    bits = 2 * width
     rows = np.arange(total, dtype=np.int32)
     sizes = np.array([total] if total else [], np.int64)
     depths = np.zeros(len(sizes), np.int64)
     while len(sizes):
         starts = np.cumsum(sizes) - sizes
         alone = sizes == 1
-        if alone.any():
+        # two words are left at most, and fit into one number with the place of their partition
+        small = ~alone & (sizes <= SMALL) & (depths >= depth_max - 2) & (bits + len(sizes).bit_length() < 64)
+        if alone.any() or small.any():
             yield from _alone(columns, weights, rows[starts[alone]], depths[alone], least)
-            rows, sizes, depths = rows[np.repeat(~alone, sizes)], sizes[~alone], depths[~alone]
+            some = rows[np.repeat(small, sizes)]
+            yield from _small(words, total, weights, some, sizes[small], depths[small], width, depth_max, least)
+            left = ~(alone | small)
+            rows, sizes, depths = rows[np.repeat(left, sizes)], sizes[left], depths[left]
             starts = np.cumsum(sizes) - sizes
             if not len(sizes):
                 return
@@ -105,6 +114,40 @@ def _alone(columns, weights, rows, depths, least):
                 yield d + 1, rows[chosen], weight[chosen], final
 
 
+def _small(words, total, weights, rows, sizes, depths, width, depth_max, least):
+    """The equal partitions inside small ones, by the one or two words that are not settled."""
+    if not len(rows):
+        return
+    depth = np.repeat(depths, sizes)
+    here = words.take(depth * total + rows).astype(np.int64)
+    further = (here != END) & (depth + 1 < depth_max)
+    there = np.zeros_like(here)
+    there[further] = words.take((depth[further] + 1) * total + rows[further])
+    key = np.repeat(np.arange(len(sizes)), sizes) << 2 * width | here << width | there
+    order = np.argsort(key)
+    key, rows, depth, here, there = (x[order] for x in (key, rows, depth, here, there))
+    weight = None if weights is None else weights.take(rows)
+    for step, word, keep in ((0, here, None), (1, there, (here != END) & (depth + 1 < depth_max))):
+        prefix = key >> width if step == 0 else key
+        starts = np.flatnonzero(np.append(True, prefix[1:] != prefix[:-1]))
+        if weight is None:
+            sums = np.diff(np.append(starts, len(key)))
+        else:
+            sums = np.add.reduceat(weight, starts)
+        live = sums >= least
+        if keep is not None:
+            live &= keep[starts]
+        starts, sums = starts[live], sums[live]
+        ended = word[starts] == END
+        length = depth[starts] + step + ~ended
+        final = ended | (length == depth_max)
+        for d in range(1, depth_max + 1):
+            for whole in (False, True):
+                some = (length == d) & (final == whole)
+                if some.any():
+                    yield d, rows[starts[some]], sums[some], whole
+
+
 class Words(dict):
     """Codes of the words that a task meets, in the order it meets them."""
 

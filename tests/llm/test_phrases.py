@@ -81,8 +81,10 @@ def test_empty(spark):
     assert mined(spark, []) == [] and mined(spark, [(None, None), ("a b", "en")]) == []
 
 
+@pytest.mark.parametrize("small", [1, 4, 64, 10_000])
 @pytest.mark.parametrize("least", [1, 3])
-def test_groups_of_the_sort(least):
+def test_groups_of_the_sort(monkeypatch, least, small):
+    monkeypatch.setattr(phrases, "SMALL", small)
     rng = np.random.default_rng(1)
     rows = []
     for _ in range(3000):
