@@ -311,10 +311,11 @@ def local_suffixes(
     return rows.mapInArrow(run, PARCELS)
 
 
-def _spelled(names: list[bytes], lines: np.ndarray, lang: str, counts: np.ndarray, depth: int):
-    """A batch of phrases: language, words and count."""
-    words = pa.array(names, pa.binary()).cast(pa.string())
-    flat = words.take(pa.array(lines.ravel()))
+def _spelled(names: list[bytes], lines: np.ndarray, lang: str, counts: np.ndarray):
+    """A batch of phrases: language, words and count. Only the words they hold are spelled."""
+    distinct, places = np.unique(lines, return_inverse=True)
+    words = pa.array([names[code] for code in distinct.tolist()], pa.binary()).cast(pa.string())
+    flat = words.take(pa.array(places.ravel()))
     listed = pa.ListArray.from_arrays(
         pa.array(np.arange(len(lines) + 1, dtype=np.int32) * lines.shape[1]), flat
     )
@@ -381,7 +382,7 @@ def phrase_counts(
                     lines, counts = lines[full], counts[full]
                     if len(lines):
                         new = np.flatnonzero(np.append(True, (lines[1:] != lines[:-1]).any(axis=1)))
-                        yield _spelled(list(words), lines[new], lang, np.add.reduceat(counts, new), depth)
+                        yield _spelled(list(words), lines[new], lang, np.add.reduceat(counts, new))
 
         # parcels of a bucket meet in groups of bounded size, so that those dealt out anew are not tiny
         group = F.pmod(F.xxhash64("packed"), F.col("_groups"))
@@ -415,10 +416,14 @@ def phrase_counts(
                 ends = rare[columns[d]]
                 for further in range(d, depth):
                     columns[further] = np.where(ends, END, columns[further])
+            frequent: dict[int, list] = {}
             for length, rows, weight, whole in equal_groups(columns, weights, least):
                 if length > level and (length == depth or not whole):
-                    lines = np.stack([c[rows] for c in columns[:length]], axis=1)
-                    yield _spelled(names, lines, lang, weight, depth)
+                    frequent.setdefault(length, []).append((rows, weight))
+            for length, some in frequent.items():
+                rows, weight = (np.concatenate(x) for x in zip(*some, strict=True))
+                lines = np.stack([c[rows] for c in columns[:length]], axis=1)
+                yield _spelled(names, lines, lang, weight)
 
     counted = routed.repartition(tasks, *keys, "level").mapInArrow(count, PHRASES)
     for more in found:
