@@ -512,13 +512,12 @@ def mine(
     )
     order = [F.desc("score"), F.desc("a"), F.col("phrase")]
     place = F.row_number()
-    # best of each part of a language first, so that few rows of a large one meet
-    kept = kept.withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(64)))
-    kept = kept.withColumn("rank", place.over(Window.partitionBy("lang", "_salt").orderBy(*order)))
-    kept = kept.filter(F.col("rank") <= top).drop("rank", "_salt", "_longer")
-    ranked = kept.withColumn("rank", place.over(Window.partitionBy("lang").orderBy(*order)))
+    # the best of ever larger parts of a language, so that no step brings more than 8 * top rows together
+    for parts in (64, 8, 1):
+        kept = kept.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(parts)))
+        kept = kept.withColumn("rank", place.over(Window.partitionBy("lang", "_part").orderBy(*order)))
+        kept = kept.filter(F.col("rank") <= top)
     return (
-        ranked.filter(F.col("rank") <= top)
-        .join(totals, "lang")
+        kept.join(totals, "lang")
         .select("lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score")
     )
