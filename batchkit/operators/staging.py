@@ -25,19 +25,28 @@ def _local_only(spark: SparkSession, root: str) -> bool:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
+    On a cluster a setting without a scheme, where the default file system is the local disk, counts if the
+    application was started with it: Spark has then made a folder of its own in it, and that one is used,
+    by its full name. Whoever starts an application with the setting says that all nodes share it. Where Spark
+    has made none, the setting is refused unless the master is ``local`` or ``local[...]``.
+
     A session without the setting uses a folder in its warehouse, if that is on a file system which
-    all executors share: a warehouse on local disks (``file:``, Spark's default) is refused unless the master
-    is ``local`` or ``local[...]``. So is a setting without a scheme where the default file system is
-    the local disk. A cluster whose nodes mount one file system says so with ``file:`` in the setting.
+    all executors share: a warehouse on local disks (``file:``, Spark's default) is refused unless all
+    executors are on the driver's machine, as those of ``local``, ``local[...]`` and ``local-cluster[...]`` are.
     """
-    master = spark.sparkContext.master
-    local = master == "local" or master.startswith("local[")
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    refused = bool(root) and ":/" not in root
+    context = spark.sparkContext
+    local = context.master == "local" or context.master.startswith("local[")
+    made = context.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or made
     if not root:
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
-        refused = True
-    if refused and not local and _local_only(spark, root):
+        local = local or context.master.startswith("local-cluster[")
+        refused = not local and _local_only(spark, root)
+    else:
+        refused = ":/" not in root and not local and _local_only(spark, root)
+        if refused and made:
+            return made
+    if refused:
         raise ValueError(f"spark.checkpoint.dir needs a folder all executors share, not {root}")
     return root
 

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -126,6 +129,49 @@ def test_a_warehouse_on_local_disks_is_refused_on_a_cluster():
     assert checkpoint_root(fake_session("yarn", None, "hdfs://n", "/user/w")) == "/user/w/_stages"
 
 
+def test_the_folder_an_application_was_started_with_is_taken():
+    """Spark has made a folder below the setting; before, the setting's lack of a scheme was refused."""
+    for master in ("yarn", "spark://m:7077", "local-cluster[2,1,512]"):
+        session = fake_session(master, "/mnt/all")
+        session.sparkContext.getCheckpointDir = lambda: "file:/mnt/all/0b1c"
+        assert checkpoint_root(session) == "file:/mnt/all/0b1c"
+    # all executors of a local cluster are on the driver's machine
+    session = fake_session("local-cluster[2,1,512]", warehouse="file:/w")
+    assert checkpoint_root(session) == "file:/w/_stages"
+
+
+ON_A_CLUSTER = """
+import sys
+from pyspark.sql import SparkSession
+from batchkit.operators import ratings
+from batchkit.sources import read_key_value, write_key_value
+from batchkit.operators.staging import Stage
+
+spark = (
+    SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false")
+    .config("spark.executor.memory", "512m").config("spark.sql.shuffle.partitions", "2")
+    .config("spark.driver.host", "127.0.0.1")
+    .config("spark.sql.warehouse.dir", sys.argv[1] + "/warehouse").config("spark.checkpoint.dir", sys.argv[1])
+    .getOrCreate()
+)
+spark.sparkContext.setLogLevel("OFF")
+rows = spark.range(0, 90, 1, 5).selectExpr("id % 3 AS user", "id AS score")
+path = Stage(spark).path("pairs")
+write_key_value(rows, path)
+print(read_key_value(spark, path, "user long, score long").count(), ratings.zscore(rows, "user", "score").count())
+"""
+
+
+def test_a_cluster_whose_setting_has_no_scheme(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    done = subprocess.run(
+        [sys.executable, "-c", ON_A_CLUSTER, str(tmp_path)], capture_output=True, text=True, timeout=300,
+        env=os.environ | {"PYTHONPATH": root, "SPARK_LOCAL_IP": "127.0.0.1"},
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert done.stdout.split() == ["90", "90"]
+
+
 def test_a_closed_stage_holds_its_result_only(spark):
     with Stage(spark) as stage:
         for name in ("a", "b", "c"):
