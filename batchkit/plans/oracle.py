@@ -261,7 +261,7 @@ ORACLE: dict[str, str] = {
     "zero_filled_year_counts": f"WITH {_VIEWS} SELECT * FROM counts",
     "min_max_year_select": f"""
         WITH views AS (
-            SELECT o_orderpriority AS CID, year(l_shipdate) AS y
+            SELECT o_orderkey AS CID, year(l_shipdate) AS y
             FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey),
         counts AS (
             SELECT CID, count(*) FILTER (y = 1996) AS views_1996, count(*) FILTER (y = 1999) AS views_1999

@@ -226,7 +226,7 @@ def zero_filled_year_counts(spark, sf_dir):
 @query
 def min_max_year_select(spark, sf_dir):
     return cohorts.select_extremes(
-        tables.priority_view_counts(spark, sf_dir), "views_1996", "views_1999"
+        tables.order_view_counts(spark, sf_dir), "views_1996", "views_1999"
     )
 
 

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from batchkit.plans import oracle, queries
+from batchkit.plans import oracle, queries, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 TABLES = (
@@ -69,6 +69,16 @@ def test_min_max_year_select_has_rows(spark):
     assert QUERIES["min_max_year_select"](spark, "/root/testdata/sf0.01").count() > 0
 
 
+def test_min_max_year_select_is_over_every_order(spark):
+    """Not over the few priorities: each order is a course, those without a line in both years too."""
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_orderkey")
+    counts = tables.order_view_counts(spark, SF_DIR)
+    assert sorted(r.CID for r in counts.collect()) == sorted(r.o_orderkey for r in orders.collect())
+    assert counts.filter("views_1996 = 0 AND views_1999 = 0").count() > 0
+    found = QUERIES["min_max_year_select"](spark, SF_DIR)
+    assert found.join(orders, found.CID == orders.o_orderkey).count() == found.count() > 0
+
+
 def left_over(root):
     return {str(p.relative_to(root).parent) for p in root.rglob("part-*")}
 
